@@ -13,6 +13,7 @@ from changefeed.functions.columns import (
     epoch_to_string,
     is_data_line,
     json_object,
+    once,
     partition_key,
     strip_data_prefix,
     url_host,
@@ -27,6 +28,7 @@ __all__ = [
     "epoch_to_string",
     "is_data_line",
     "json_object",
+    "once",
     "partition_key",
     "strip_data_prefix",
     "url_host",

@@ -15,6 +15,7 @@ from changefeed.functions import (
     ends_as_object,
     is_data_line,
     json_object,
+    once,
     partition_key,
     strip_data_prefix,
 )
@@ -44,7 +45,6 @@ def classify(framed: DataFrame, payload_col: str = "payload") -> DataFrame:
     """
     payload = F.col(payload_col)
     m = F.col("_obj")
-    meta_text = m["meta"]
     has_meta = F.map_contains_key(m, "meta")
     meta = F.col("_meta")
     reason = (
@@ -54,9 +54,8 @@ def classify(framed: DataFrame, payload_col: str = "payload") -> DataFrame:
         .when(m.isNull() | ~ends_as_object(payload), F.lit(INVALID_JSON))
         .when(has_meta & meta.isNull(), F.lit(META_NOT_OBJECT))
     )
-    parsed = framed.withColumn("_obj", json_object(payload)).withColumn(
-        "_meta", F.when(F.map_contains_key(m, "meta"), json_object(meta_text))
-    )
+    parsed = once(framed, json_object(payload), "_obj")
+    parsed = once(parsed, F.when(has_meta, json_object(m["meta"])), "_meta")
     return parsed.select(
         *[F.col(c) for c in framed.columns],
         meta["domain"].alias("domain"),

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changefeed.functions import once
+
 # Which event ids become which kind of line (first rule wins).
 #   event_id % 97 = 0  -> ":ok" keep-alive
 #   event_id % 89 = 0  -> "data:" + object, no space
@@ -82,5 +84,7 @@ def render_feed(events: DataFrame, keep_ts: bool = False) -> DataFrame:
         .when(eid % NO_META_MOD == 0, F.concat(F.lit("data: "), rest))
         .otherwise(F.concat(F.lit("data: "), full))
     )
-    out = [line.alias("value")] + ([F.col("ts")] if keep_ts else [])
-    return events.select("event_id", "event_type", "ts", _object_without_meta().alias("_rest")).select(*out)
+    rendered = events.select("event_id", "event_type", "ts", _object_without_meta().alias("_rest"))
+    # Render each line once, even when a later filter reads it.
+    rendered = once(rendered, line, "value")
+    return rendered.select("value", *(["ts"] if keep_ts else []))
