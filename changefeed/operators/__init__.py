@@ -10,6 +10,7 @@ from changefeed.operators.ingest import (
     rejects,
     valid,
 )
+from changefeed.operators.partitioning import spread
 from changefeed.operators.recentchange import flatten, malformed, parse, parse_records, well_formed
 
 __all__ = [
@@ -25,6 +26,7 @@ __all__ = [
     "parse_records",
     "ranked",
     "rejects",
+    "spread",
     "valid",
     "well_formed",
 ]

@@ -34,8 +34,12 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.spread(_t(spark, sf_dir, "events"))
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return render_feed(_t(spark, sf_dir, "events"))
+    return render_feed(_events(spark, sf_dir))
 
 
 def _payload_id(df: DataFrame) -> DataFrame:
@@ -165,7 +169,7 @@ def stream_changes_append(spark, sf_dir):
 def stream_restart_no_duplicates(spark, sf_dir):
     """STR2, STR3, STR6: run, restart with nothing new, land more, run."""
     bed = _StreamBed(spark, "stream-restart")
-    events = _t(spark, sf_dir, "events")
+    events = _events(spark, sf_dir)
     # Split the feed in time: the earlier half lands first.
     lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
     mid = lo + (hi - lo) / 2

@@ -1,0 +1,128 @@
+"""Ingest and typed-parse behaviour on edge-case payloads (one line each)."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from changefeed import operators as ops
+from changefeed.plans import jobs
+
+# (payload, forwarded?, key when forwarded, reason when not)
+INGEST_CASES = [
+    ('{"meta":{"domain":"en.wikipedia.org"},"id":1}', True, "en.wikipedia.org", None),
+    ('{"id":1}', True, "default_domain", None),
+    ('{"meta":{},"id":1}', True, "default_domain", None),
+    ('{"meta":null,"id":1}', False, None, "meta_not_object"),
+    ('{"meta":5}', False, None, "meta_not_object"),
+    ('{"meta":[1]}', False, None, "meta_not_object"),
+    ('{"meta":"{abc"}', False, None, "meta_not_object"),
+    # decision: a null domain is treated like a missing one
+    ('{"meta":{"domain":null}}', True, "default_domain", None),
+    ("[1]", False, None, "not_object"),
+    ("5", False, None, "not_object"),
+    ("null", False, None, "not_object"),
+    ('{"meta":{"domain":"a"},"id":1', False, None, "invalid_json"),
+    ("not json", False, None, "invalid_json"),
+    ("", False, None, "invalid_json"),
+    ("{'id':1}", False, None, "invalid_json"),
+    ('{"id":1,"id":2}', True, "default_domain", None),
+    ('{"v":NaN}', True, "default_domain", None),
+    ('{"id":8} trailing', False, None, "invalid_json"),
+    ('{"id":8}  ', True, "default_domain", None),
+    # documented divergences from a strict reader
+    ("{}{}", True, "default_domain", None),
+    ('{"meta":{"domain":5}}', True, "5", None),
+]
+
+
+@pytest.mark.parametrize("payload,kept,key,reason", INGEST_CASES)
+def test_ingest_rule(lines_df, payload, kept, key, reason):
+    lines = lines_df(["data: " + payload])
+    out = jobs.ingest(lines).collect()
+    rej = jobs.ingest_rejects(lines).collect()
+    if kept:
+        assert [r["key"] for r in out] == [key]
+        assert bytes(out[0]["value"]).decode("utf-8") == payload
+        assert rej == []
+    else:
+        assert out == []
+        assert [r["reason"] for r in rej] == [reason]
+
+
+def test_duplicate_keys_last_wins(spark):
+    df = spark.createDataFrame([('{"id":1,"id":2}',)], "payload string")
+    assert ops.parse(df).first()["id"] == 2
+
+
+@pytest.mark.parametrize("line", [":ok", "", "event: message", "id: 5", 'data:{"id":1}', " data: {}"])
+def test_not_a_data_line(lines_df, line):
+    assert ops.frame(lines_df([line])).collect() == []
+
+
+def test_invalid_utf8_dropped(spark, tmp_path):
+    path = tmp_path / "feed.txt"
+    path.write_bytes(b'data: {"id":1,"s":"\xff\xfe"}\n' + b'data: {"id":2}\n')
+    lines = spark.read.text(str(path))
+    assert [r["key"] for r in jobs.ingest(lines).collect()] == ["default_domain"]
+    assert [r["reason"] for r in jobs.ingest_rejects(lines).collect()] == ["invalid_utf8"]
+
+
+def test_line_endings(spark, tmp_path):
+    path = tmp_path / "feed.txt"
+    path.write_bytes(b'data: {"id":1}\r\n:ok\rdata: {"id":2}\n')
+    assert jobs.ingest(spark.read.text(str(path))).count() == 2
+
+
+def _flat(spark, payloads):
+    df = spark.createDataFrame([(p,) for p in payloads], "payload string")
+    return ops.flatten(ops.parse(df), "UTC").collect()
+
+
+@pytest.mark.parametrize("payload", ['{"meta":{"domain":"a"},"id":1', "garbage", '[{"id":1},{"id":2}]', "", "[1]"])
+def test_parse_malformed_is_one_null_row(spark, payload):
+    rows = _flat(spark, [payload])
+    assert len(rows) == 1
+    assert all(v is None for v in rows[0])
+
+
+@pytest.mark.parametrize("payload", ['{"id":"2","type":"t"}', '{"id":"abc","type":"t"}',
+                                     '{"id":3.5,"type":"t"}', '{"id":99999999999999999999,"type":"t"}'])
+def test_parse_bad_field_is_null_rest_kept(spark, payload):
+    r = _flat(spark, [payload])[0]
+    assert r["event_id"] is None
+    assert r["event_type"] == "t"
+
+
+def test_parse_field_types(spark):
+    df = spark.createDataFrame([('{"namespace":9999999999,"bot":"true","type":{"a":1},"ID":9,"x":1,"id":4}',)],
+                               "payload string")
+    r = ops.parse(df).first()
+    assert r["namespace"] is None
+    assert r["bot"] is None
+    assert r["type"] == '{"a":1}'
+    assert r["id"] == 4
+
+
+def test_parse_lenient_text(spark):
+    rows = _flat(spark, ["{'id':1}", '{"id":2} trailing'])
+    assert sorted(r["event_id"] for r in rows) == [1, 2]
+
+
+def test_time_edges(spark):
+    rows = _flat(spark, ['{"id":1}', '{"id":2,"timestamp":-86400}', '{"id":3,"timestamp":253402300800}'])
+    got = {r["event_id"]: r["event_timestamp"] for r in rows}
+    assert got[1] is None
+    assert got[2] == "1969-12-31 00:00:00"
+    assert got[3].endswith("10000-01-01 00:00:00")
+
+
+def test_quarantine_splits_malformed(spark):
+    payloads = ['{"id":1}', "garbage", "[1]", '{"id":2}']
+    records = spark.createDataFrame([(p,) for p in payloads], "payload string").select(
+        F.lit(None).cast("string").alias("key"), F.col("payload").cast("binary").alias("value"))
+    kept = jobs.changes(records, "UTC", on_malformed="quarantine").collect()
+    assert sorted(r["event_id"] for r in kept) == [1, 2]
+    assert len(jobs.changes(records, "UTC").collect()) == 4
+    text = records.select(F.col("value").cast("string").alias("payload"))
+    assert sorted(r["payload"] for r in ops.malformed(text).collect()) == ["[1]", "garbage"]
+    with pytest.raises(ValueError):
+        jobs.changes(records, on_malformed="drop")
