@@ -42,10 +42,12 @@ def stream_ingest(spark: SparkSession, lines_path: str, checkpoint: str, *,
                   records_path: str | None = None, records_table: str | None = None,
                   fmt: str = "parquet", options: dict[str, str] | None = None,
                   domains: Iterable[str] | None = None, trigger: str = "60 seconds",
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+                  max_files_per_trigger: int | None = None,
+                  max_bytes_per_trigger: str | None = None) -> StreamingQuery:
     """Landed feed lines -> keyed records on a bus topic or a table."""
     lines = feed_lines(spark, lines_path, streaming=True,
-                       max_files_per_trigger=max_files_per_trigger)
+                       max_files_per_trigger=max_files_per_trigger,
+                       max_bytes_per_trigger=max_bytes_per_trigger)
     return append_stream(ingest(lines, domains), checkpoint, table=records_table,
                          path=records_path, fmt=fmt, trigger=trigger, options=options,
                          query_name=None)
@@ -57,7 +59,8 @@ def stream_changes(spark: SparkSession, checkpoint: str, *, source_fmt: str = "p
                    trigger: str = "60 seconds", time_zone: str | None = None,
                    on_malformed: str = "keep", quarantine_path: str | None = None,
                    quarantine_checkpoint: str | None = None,
-                   max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
+                   max_files_per_trigger: int | None = None,
+                   max_bytes_per_trigger: str | None = None) -> list[StreamingQuery]:
     """Keyed records -> parse -> flatten -> append, one micro-batch per
     trigger.
 
@@ -67,7 +70,8 @@ def stream_changes(spark: SparkSession, checkpoint: str, *, source_fmt: str = "p
     Returns the started queries (changes first).
     """
     records = record_stream(spark, source_fmt, source_path, source_options,
-                            max_files_per_trigger=max_files_per_trigger)
+                            max_files_per_trigger=max_files_per_trigger,
+                            max_bytes_per_trigger=max_bytes_per_trigger)
     flat = observe_rows(changes(records, time_zone, on_malformed), CHANGES_METRIC)
     started = [append_stream(flat, checkpoint, table=table, path=path, fmt=fmt, trigger=trigger)]
     if quarantine_path is not None:

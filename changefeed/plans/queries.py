@@ -22,12 +22,10 @@ from changefeed.plans import jobs
 from changefeed.session import shared_dir
 from changefeed.sinks import write_records
 from changefeed.sources import feed_lines, read_records, render_feed
-from changefeed.streaming import batch_rows, preview, run_bounded
+from changefeed.streaming import batch_bytes, batch_rows, preview, run_bounded
 
 TZ = "UTC"
 ALLOW_LIST = ("click.example.org", "view.example.org")
-LANDING_RECORDS_PER_FILE = 2500
-FILES_PER_TRIGGER = 2
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -131,8 +129,11 @@ def summary_overwrite_twice(spark, sf_dir):
 class _StreamBed:
     """Landing folder -> ingest stream -> records -> changes stream -> table."""
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, files_per_trigger: int | None = None):
         self.spark = spark
+        # Backlogs drain in cluster-sized batches unless a file cap is given.
+        self.files_per_trigger = files_per_trigger
+        self.bytes_per_trigger = None if files_per_trigger else batch_bytes(spark)
         self.base = shared_dir(spark, name)
         self.landing = f"{self.base}/landing"
         self.records = f"{self.base}/records"
@@ -140,17 +141,18 @@ class _StreamBed:
         self.metrics: list[tuple[int, int]] = []
 
     def land(self, lines: DataFrame) -> None:
-        (lines.select("value").write.mode("append")
-         .option("maxRecordsPerFile", LANDING_RECORDS_PER_FILE).text(self.landing))
+        lines.select("value").write.mode("append").text(self.landing)
 
     def run(self) -> None:
         run_bounded(jobs.stream_ingest(
             self.spark, self.landing, f"{self.base}/_ckpt_ingest", records_path=self.records,
-            trigger="available_now", max_files_per_trigger=FILES_PER_TRIGGER))
+            trigger="available_now", max_files_per_trigger=self.files_per_trigger,
+            max_bytes_per_trigger=self.bytes_per_trigger))
         for q in jobs.stream_changes(
                 self.spark, f"{self.base}/_ckpt_changes", source_path=self.records,
                 path=self.changes, trigger="available_now", time_zone=TZ,
-                max_files_per_trigger=FILES_PER_TRIGGER):
+                max_files_per_trigger=self.files_per_trigger,
+                max_bytes_per_trigger=self.bytes_per_trigger):
             run_bounded(q)
             self.metrics += batch_rows(q, jobs.CHANGES_METRIC)
 
@@ -208,8 +210,7 @@ def preview_rows(spark, sf_dir):
 def landed_feed_lines(spark, sf_dir):
     """SRC1 over landed text files (batch read of the landing folder)."""
     base = shared_dir(spark, "landed")
-    (_lines(spark, sf_dir).write
-     .option("maxRecordsPerFile", LANDING_RECORDS_PER_FILE).text(f"{base}/landing"))
+    _lines(spark, sf_dir).write.text(f"{base}/landing")
     return ops.frame(feed_lines(spark, f"{base}/landing"))
 
 

@@ -14,7 +14,8 @@ def _bus_columns(df: DataFrame) -> DataFrame:
 
 def record_stream(spark: SparkSession, fmt: str = "parquet", path: str | None = None,
                   options: dict[str, str] | None = None, starting: str = "latest",
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  max_files_per_trigger: int | None = None,
+                  max_bytes_per_trigger: str | None = None) -> DataFrame:
     """Streaming keyed records.
 
     ``fmt="kafka"``: a message-bus topic (connector jar required);
@@ -22,7 +23,8 @@ def record_stream(spark: SparkSession, fmt: str = "parquet", path: str | None =
     has no checkpoint yet, so a first run starts at the tip and later runs
     resume where they stopped.  Any file format: the files under ``path``
     with the fixed keyed schema; a file source has no tip and reads what is
-    already there on its first run.
+    already there on its first run.  The per-trigger caps (files or bytes)
+    bound the size of each micro-batch when a backlog is drained.
     """
     options = dict(options or {})
     reader = spark.readStream.format(fmt)
@@ -31,6 +33,8 @@ def record_stream(spark: SparkSession, fmt: str = "parquet", path: str | None =
         return _bus_columns(reader.options(**options).load())
     if max_files_per_trigger:
         options.setdefault("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        options.setdefault("maxBytesPerTrigger", max_bytes_per_trigger)
     reader = reader.schema(KEYED_SCHEMA).options(**options)
     return _bus_columns(reader.load(path) if path else reader.load())
 

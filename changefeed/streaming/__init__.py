@@ -1,6 +1,6 @@
 """Structured Streaming helpers: triggers, bounded runs, metrics, preview."""
 
 from changefeed.streaming.metrics import batch_rows, observe_rows, preview
-from changefeed.streaming.triggers import apply_trigger, run_bounded
+from changefeed.streaming.triggers import apply_trigger, batch_bytes, run_bounded
 
-__all__ = ["apply_trigger", "batch_rows", "observe_rows", "preview", "run_bounded"]
+__all__ = ["apply_trigger", "batch_bytes", "batch_rows", "observe_rows", "preview", "run_bounded"]

@@ -33,3 +33,23 @@ def run_bounded(query: StreamingQuery, seconds: float | None = None) -> Streamin
     if exc is not None:
         raise exc
     return query
+
+
+def batch_bytes(spark, waves: int = 4) -> str:
+    """A per-trigger byte cap that fills the cluster ``waves`` times.
+
+    Draining a backlog in batches of this size keeps every core busy and
+    commits progress regularly; a 100 TB backlog is not one giant batch.
+    """
+    per_task = spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")
+    per_task_bytes = _to_bytes(per_task)
+    total = spark.sparkContext.defaultParallelism * per_task_bytes * waves
+    return str(total)
+
+
+def _to_bytes(size: str) -> int:
+    size = size.strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if size and size[-1] in units:
+        return int(float(size[:-1]) * units[size[-1]])
+    return int(size)

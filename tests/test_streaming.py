@@ -24,7 +24,7 @@ def test_stream_equals_batch(spark):
 
 
 def test_restart_adds_nothing_and_new_files_add_only_theirs(spark):
-    bed = queries._StreamBed(spark, "t-restart")
+    bed = queries._StreamBed(spark, "t-restart", files_per_trigger=2)
     events = spark.read.parquet(f"{SF_SMOKE}/events.parquet")
     lines = render_feed(events, keep_ts=True)
     lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
@@ -42,7 +42,7 @@ def test_restart_adds_nothing_and_new_files_add_only_theirs(spark):
 
 
 def test_metrics_per_batch_sum_to_rows(spark):
-    bed = queries._StreamBed(spark, "t-metrics")
+    bed = queries._StreamBed(spark, "t-metrics", files_per_trigger=2)
     bed.land(queries._lines(spark, SF_CHECK))
     bed.run()
     assert len(bed.metrics) > 1  # the backlog is drained in several batches
@@ -83,3 +83,14 @@ def test_catalog_tables_end_to_end(spark):
         spark.conf.unset("spark.app.db")
     got = _bag(spark.read.table("cf_test.domain_edit_counts"))
     assert got == _bag(queries.domain_edit_counts(spark, SF_SMOKE))
+
+
+def test_batch_bytes_scales_with_cluster(spark):
+    from changefeed.streaming import batch_bytes
+    from changefeed.streaming.triggers import _to_bytes
+
+    assert _to_bytes("128m") == 128 << 20
+    assert _to_bytes("1g") == 1 << 30
+    assert _to_bytes("4096") == 4096
+    assert int(batch_bytes(spark, waves=1)) == spark.sparkContext.defaultParallelism * _to_bytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
