@@ -126,6 +126,32 @@ def batch_main(spark: SparkSession | None = None) -> None:
                        dst_table=f"{prefix}.domain_edit_counts", fmt=fmt)
 
 
+def ingest_main(spark: SparkSession | None = None) -> None:
+    """``spark-submit`` entry of the ingest stream; runs until stopped, or
+    for ``spark.app.runSeconds`` seconds.
+
+    ``spark.app.linesPath`` (landed feed files), ``spark.app.checkpoint``,
+    ``spark.app.domains`` (comma-separated allow-list; empty = all),
+    ``spark.app.sinkFormat`` (default ``kafka``) with ``spark.app.sink.*``
+    options (e.g. ``topic``, ``kafka.bootstrap.servers``), or
+    ``spark.app.recordsPath`` for a file sink.
+    """
+    from changefeed.session import build_session
+
+    spark = spark or build_session("changefeed-ingest")
+    conf = dict(spark.sparkContext.getConf().getAll())
+    sink_options = {k[len("spark.app.sink."):]: v for k, v in conf.items()
+                    if k.startswith("spark.app.sink.")}
+    domains = [d.strip() for d in (_conf(spark, "domains", "") or "").split(",") if d.strip()]
+    seconds = _conf(spark, "runSeconds")
+    query = stream_ingest(
+        spark, _conf(spark, "linesPath"), _conf(spark, "checkpoint"),
+        records_path=_conf(spark, "recordsPath"),
+        fmt=_conf(spark, "sinkFormat", "kafka"), options=sink_options, domains=domains,
+        trigger=_conf(spark, "trigger", "60 seconds"))
+    run_bounded(query, float(seconds) if seconds else None)
+
+
 def streaming_main(spark: SparkSession | None = None) -> None:
     """``spark-submit`` entry of the streaming job; runs until stopped.
 
@@ -157,4 +183,4 @@ def streaming_main(spark: SparkSession | None = None) -> None:
 
 
 if __name__ == "__main__":  # pragma: no cover
-    {"batch": batch_main, "streaming": streaming_main}[sys.argv[1]]()
+    {"batch": batch_main, "ingest": ingest_main, "streaming": streaming_main}[sys.argv[1]]()

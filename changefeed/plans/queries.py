@@ -21,7 +21,7 @@ from changefeed.functions import url_host
 from changefeed.plans import jobs
 from changefeed.session import shared_dir
 from changefeed.sinks import write_records
-from changefeed.sources import feed_lines, read_records, render_feed
+from changefeed.sources import feed_lines, json_events, read_records, render_feed
 from changefeed.streaming import batch_bytes, batch_rows, preview, run_bounded
 
 TZ = "UTC"
@@ -214,6 +214,15 @@ def landed_feed_lines(spark, sf_dir):
     return ops.frame(feed_lines(spark, f"{base}/landing"))
 
 
+def json_events_flat(spark, sf_dir):
+    """SRC3 batch form: well-formed payloads landed as JSON Lines, scanned
+    with the fixed schema and flattened."""
+    base = shared_dir(spark, "json-events")
+    framed = ops.well_formed(ops.frame(_lines(spark, sf_dir)))
+    framed.select(F.col("payload").alias("value")).write.text(f"{base}/json")
+    return ops.flatten(json_events(spark, f"{base}/json"), TZ)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_data_lines": feed_data_lines,
     "landed_feed_lines": landed_feed_lines,
@@ -231,6 +240,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_permissive_nulls": parse_permissive_nulls,
     "parse_quarantine_kept": parse_quarantine_kept,
     "parse_quarantine_rejected": parse_quarantine_rejected,
+    "json_events_flat": json_events_flat,
     "stream_empty_batch": stream_empty_batch,
     "batch_row_metrics": batch_row_metrics,
     "preview_rows": preview_rows,
