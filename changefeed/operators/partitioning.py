@@ -15,6 +15,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     returned unchanged, so this adds a shuffle only where the data is small
     enough for the shuffle to be cheap.
     """
+    if df.isStreaming:
+        return df  # a stream's splits are per micro-batch; nothing to check here
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df

@@ -16,6 +16,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Python call-site capture for error messages; it doubles the driver
+    # time spent building the long expression trees of the feed plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -68,3 +68,17 @@ def test_frame_filter_pushed_to_text_scan(spark, tmp_path):
     (tmp_path / "f.txt").write_text("data: {}\n:ok\n")
     text = plan(ops.frame(spark.read.text(str(tmp_path))))
     assert "PushedFilters: [IsNotNull(value), StringStartsWith(value,data: )]" in text
+
+
+def test_spread_only_when_under_split(spark):
+    from changefeed import operators as ops
+
+    small = spark.read.parquet(f"{SF_CHECK}/events.parquet")
+    assert small.rdd.getNumPartitions() == 1
+    spread = ops.spread(small, 8)
+    assert spread.rdd.getNumPartitions() == 8
+    assert spread.count() == small.count()
+    wide = spark.range(0, 1000, 1, 16)
+    assert ops.spread(wide, 8) is wide
+    stream = spark.readStream.format("rate").load()
+    assert ops.spread(stream) is stream
