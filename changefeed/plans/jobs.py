@@ -110,6 +110,12 @@ def _conf(spark: SparkSession, key: str, default: str | None = None) -> str | No
     return spark.conf.get(f"spark.app.{key}", default)
 
 
+def _prefixed(spark: SparkSession, prefix: str) -> dict[str, str]:
+    """``spark.app.<prefix>.*`` settings (static or runtime) as options."""
+    full = f"spark.app.{prefix}."
+    return {k[len(full):]: v for k, v in spark.conf.getAll.items() if k.startswith(full)}
+
+
 def batch_main(spark: SparkSession | None = None) -> None:
     """``spark-submit`` entry of the daily summary.
 
@@ -139,9 +145,7 @@ def ingest_main(spark: SparkSession | None = None) -> None:
     from changefeed.session import build_session
 
     spark = spark or build_session("changefeed-ingest")
-    conf = dict(spark.sparkContext.getConf().getAll())
-    sink_options = {k[len("spark.app.sink."):]: v for k, v in conf.items()
-                    if k.startswith("spark.app.sink.")}
+    sink_options = _prefixed(spark, "sink")
     domains = [d.strip() for d in (_conf(spark, "domains", "") or "").split(",") if d.strip()]
     seconds = _conf(spark, "runSeconds")
     query = stream_ingest(
@@ -162,9 +166,7 @@ def streaming_main(spark: SparkSession | None = None) -> None:
     from changefeed.session import build_session
 
     spark = spark or build_session("changefeed-streaming")
-    conf = dict(spark.sparkContext.getConf().getAll())
-    source_options = {k[len("spark.app.source."):]: v for k, v in conf.items()
-                      if k.startswith("spark.app.source.")}
+    source_options = _prefixed(spark, "source")
     catalog = _conf(spark, "catalog")
     db = _conf(spark, "db")
     prefix = ".".join(p for p in (catalog, db) if p)
