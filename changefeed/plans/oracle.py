@@ -82,6 +82,11 @@ ORACLE_SQL: dict[str, str] = {
     "parse_quarantine_rejected": f"""{_OBJ} SELECT {_PAYLOAD} AS payload FROM o
         WHERE {_DATA} AND (event_id % 83 = 0 OR event_id % 79 = 0)""",
     "stream_empty_batch": _CHANGES,
+    "stream_quarantine_kept": _flat(
+        f"{_DATA} AND event_id % 83 <> 0 AND event_id % 79 <> 0",
+        domain="CASE WHEN event_id % 73 <> 0 AND event_id % 71 <> 0 THEN event_type || '.example.org' END"),
+    "stream_quarantine_rejected": f"""{_OBJ} SELECT {_PAYLOAD} AS payload FROM o
+        WHERE {_DATA} AND (event_id % 83 = 0 OR event_id % 79 = 0)""",
     "batch_row_metrics": f"SELECT count(*) AS n FROM events WHERE {_VALID}",
     # preview_rows: a 5-row sample has no single right answer; rows-only check.
 }

@@ -214,6 +214,34 @@ def landed_feed_lines(spark, sf_dir):
     return ops.frame(feed_lines(spark, f"{base}/landing"))
 
 
+def _stream_quarantine(spark, sf_dir):
+    """Unvalidated records (as another producer might send them) streamed
+    with ``on_malformed="quarantine"``; returns (table path, quarantine path)."""
+    base = shared_dir(spark, "stream-quarantine")
+    framed = ops.frame(_lines(spark, sf_dir))
+    records = framed.select(F.lit(None).cast("string").alias("key"),
+                            F.col("payload").cast("binary").alias("value"))
+    write_records(records, path=f"{base}/records")
+    for q in jobs.stream_changes(
+            spark, f"{base}/_ckpt_changes", source_path=f"{base}/records",
+            path=f"{base}/recent_changes_stream", trigger="available_now", time_zone=TZ,
+            on_malformed="quarantine", quarantine_path=f"{base}/quarantine",
+            quarantine_checkpoint=f"{base}/_ckpt_quarantine",
+            max_bytes_per_trigger=batch_bytes(spark)):
+        run_bounded(q)
+    return f"{base}/recent_changes_stream", f"{base}/quarantine"
+
+
+def stream_quarantine_kept(spark, sf_dir):
+    """JOB2 with quarantine: the table holds only well-formed payloads."""
+    return spark.read.parquet(_stream_quarantine(spark, sf_dir)[0])
+
+
+def stream_quarantine_rejected(spark, sf_dir):
+    """JOB2 with quarantine: the side table holds the malformed payloads."""
+    return spark.read.parquet(_stream_quarantine(spark, sf_dir)[1])
+
+
 def json_events_flat(spark, sf_dir):
     """SRC3 batch form: well-formed payloads landed as JSON Lines, scanned
     with the fixed schema and flattened."""
@@ -241,6 +269,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_quarantine_kept": parse_quarantine_kept,
     "parse_quarantine_rejected": parse_quarantine_rejected,
     "json_events_flat": json_events_flat,
+    "stream_quarantine_kept": stream_quarantine_kept,
+    "stream_quarantine_rejected": stream_quarantine_rejected,
     "stream_empty_batch": stream_empty_batch,
     "batch_row_metrics": batch_row_metrics,
     "preview_rows": preview_rows,
