@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from changefeed.session import parallelism
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over ``min_partitions`` (default: the cluster's
@@ -17,7 +19,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if df.isStreaming:
         return df  # a stream's splits are per micro-batch; nothing to check here
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    target = min_partitions or parallelism(df.sparkSession)
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)

@@ -41,10 +41,10 @@ def build_session(
 
 
 def _checkpoint_root(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
@@ -53,6 +53,14 @@ def _checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Cores the cluster offers (``spark.default.parallelism`` when set)."""
+    conf = spark.conf.get("spark.default.parallelism", None)
+    if conf:
+        return int(conf)
+    return spark.sparkContext.defaultParallelism
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 

@@ -43,7 +43,9 @@ def batch_bytes(spark, waves: int = 4) -> str:
     """
     per_task = spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")
     per_task_bytes = _to_bytes(per_task)
-    total = spark.sparkContext.defaultParallelism * per_task_bytes * waves
+    from changefeed.session import parallelism
+
+    total = parallelism(spark) * per_task_bytes * waves
     return str(total)
 
 

@@ -92,5 +92,7 @@ def test_batch_bytes_scales_with_cluster(spark):
     assert _to_bytes("128m") == 128 << 20
     assert _to_bytes("1g") == 1 << 30
     assert _to_bytes("4096") == 4096
-    assert int(batch_bytes(spark, waves=1)) == spark.sparkContext.defaultParallelism * _to_bytes(
+    from changefeed.session import parallelism
+
+    assert int(batch_bytes(spark, waves=1)) == parallelism(spark) * _to_bytes(
         spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
