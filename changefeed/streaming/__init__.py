@@ -1,6 +1,21 @@
 """Structured Streaming helpers: triggers, bounded runs, metrics, preview."""
 
-from changefeed.streaming.metrics import batch_rows, observe_rows, preview
+from changefeed.streaming.metrics import (
+    BatchRowsListener,
+    batch_rows,
+    observe_rows,
+    preview,
+    preview_stream,
+)
 from changefeed.streaming.triggers import apply_trigger, batch_bytes, run_bounded
 
-__all__ = ["apply_trigger", "batch_bytes", "batch_rows", "observe_rows", "preview", "run_bounded"]
+__all__ = [
+    "BatchRowsListener",
+    "apply_trigger",
+    "batch_bytes",
+    "batch_rows",
+    "observe_rows",
+    "preview",
+    "preview_stream",
+    "run_bounded",
+]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 def observe_rows(df: DataFrame, name: str = "changes") -> DataFrame:
@@ -29,3 +29,48 @@ def batch_rows(query: StreamingQuery, name: str = "changes") -> list[tuple[int,
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """A bounded sample of at most ``n`` rows (opt-in)."""
     return df.limit(n)
+
+
+class BatchRowsListener(StreamingQueryListener):
+    """Receives every batch's observed row count, for queries that run for
+    days (``recentProgress`` keeps only the last updates).
+
+    ``callback(query_name, batch_id, rows)`` runs on the driver for each
+    progress event that carries the metric; the default keeps a list.
+    """
+
+    def __init__(self, name: str = "changes", callback=None):
+        self.name = name
+        self.rows: list[tuple[str | None, int, int]] = []
+        self._callback = callback or (lambda q, b, n: self.rows.append((q, b, n)))
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        progress = event.progress
+        metric = (progress.observedMetrics or {}).get(self.name)
+        if metric is not None:
+            self._callback(progress.name, progress.batchId, int(metric["n"]))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def preview_stream(df: DataFrame, n: int = 5, trigger: str | None = "60 seconds",
+                   checkpoint: str | None = None) -> StreamingQuery:
+    """Print the first ``n`` rows of every micro-batch, untruncated (opt-in).
+
+    A separate query on the console sink: it reads the source on its own
+    and never adds an action to the main query's batches.
+    """
+    from changefeed.streaming.triggers import apply_trigger
+
+    writer = (df.writeStream.format("console").option("numRows", str(n))
+              .option("truncate", "false").outputMode("append"))
+    if checkpoint:
+        writer = writer.option("checkpointLocation", checkpoint)
+    return apply_trigger(writer, trigger).start()

@@ -96,3 +96,35 @@ def test_batch_bytes_scales_with_cluster(spark):
 
     assert int(batch_bytes(spark, waves=1)) == parallelism(spark) * _to_bytes(
         spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+
+
+def test_listener_receives_every_batch(spark):
+    import time as _t
+
+    from changefeed.streaming import BatchRowsListener
+
+    listener = BatchRowsListener("changes")
+    spark.streams.addListener(listener)
+    try:
+        bed = queries._StreamBed(spark, "t-listener", files_per_trigger=2)
+        bed.land(queries._lines(spark, SF_SMOKE))
+        bed.run()
+        deadline = _t.time() + 30
+        while sum(n for _, _, n in listener.rows) < bed.table().count() and _t.time() < deadline:
+            _t.sleep(0.5)  # listener events are delivered asynchronously
+    finally:
+        spark.streams.removeListener(listener)
+    assert len(listener.rows) > 1
+    assert sum(n for _, _, n in listener.rows) == bed.table().count()
+
+
+def test_preview_stream_runs(spark):
+    from changefeed.streaming import preview_stream
+
+    base = shared_dir(spark, "t-preview")
+    queries._lines(spark, SF_SMOKE).write.text(f"{base}/landing")
+    records = jobs.ingest(spark.readStream.text(f"{base}/landing"))
+    q = preview_stream(jobs.changes(records, "UTC"), 5, trigger="available_now",
+                       checkpoint=f"{base}/_ckpt")
+    run_bounded(q)
+    assert q.lastProgress["numInputRows"] > 0
