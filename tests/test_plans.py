@@ -82,3 +82,14 @@ def test_spread_only_when_under_split(spark):
     assert ops.spread(wide, 8) is wide
     stream = spark.readStream.format("rate").load()
     assert ops.spread(stream) is stream
+
+
+def test_summary_job_reads_only_domain(spark):
+    from changefeed.plans import jobs
+    from changefeed.session import shared_dir
+    from changefeed.sources import table
+
+    base = shared_dir(spark, "t-prune")
+    queries.changes_flat(spark, SF_CHECK).write.parquet(f"{base}/changes")
+    text = plan(jobs.summarize(table(spark, path=f"{base}/changes")))
+    assert "ReadSchema: struct<domain:string>" in text
