@@ -8,7 +8,7 @@ from changefeed.plans import jobs
 
 # (payload, forwarded?, key when forwarded, reason when not)
 INGEST_CASES = [
-    ('{"meta":{"domain":"en.wikipedia.org"},"id":1}', True, "en.wikipedia.org", None),
+    ('{"meta":{"domain":"en.example.org"},"id":1}', True, "en.example.org", None),
     ('{"id":1}', True, "default_domain", None),
     ('{"meta":{},"id":1}', True, "default_domain", None),
     ('{"meta":null,"id":1}', False, None, "meta_not_object"),

@@ -16,8 +16,8 @@ from hypothesis import strategies as st
 
 from changefeed.plans import jobs
 
-DOMAINS = ["en.wikipedia.org", "de.wikipedia.org", "commons.wikimedia.org"]
-ALLOW = ["de.wikipedia.org", "commons.wikimedia.org"]
+DOMAINS = ["en.example.org", "de.example.org", "commons.example.org"]
+ALLOW = ["de.example.org", "commons.example.org"]
 
 text = st.text(st.characters(blacklist_categories=("Cs",), blacklist_characters="{"), max_size=8)
 scalar = st.one_of(st.none(), st.booleans(), st.integers(-10**20, 10**20),
@@ -26,10 +26,10 @@ value = st.recursive(scalar, lambda kids: st.one_of(st.lists(kids, max_size=3),
                                                      st.dictionaries(text, kids, max_size=3)),
                      max_leaves=6)
 domain = st.one_of(st.sampled_from(DOMAINS), st.none())
-with_domain = st.fixed_dictionaries({"domain": domain}, optional={"wiki": text})
+with_domain = st.fixed_dictionaries({"domain": domain}, optional={"site": text})
 meta = st.one_of(
     with_domain, with_domain, with_domain, with_domain,
-    st.fixed_dictionaries({}, optional={"wiki": text}),
+    st.fixed_dictionaries({}, optional={"site": text}),
     st.none(), st.integers(0, 9), st.lists(scalar, max_size=2), text)
 fields = {"type": text, "length": value, "extra": value}
 record = st.one_of(
