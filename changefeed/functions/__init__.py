@@ -13,6 +13,7 @@ from changefeed.functions.columns import (
     epoch_to_string,
     is_data_line,
     json_object,
+    may_name_domain,
     once,
     partition_key,
     strip_data_prefix,
@@ -28,6 +29,7 @@ __all__ = [
     "epoch_to_string",
     "is_data_line",
     "json_object",
+    "may_name_domain",
     "once",
     "partition_key",
     "strip_data_prefix",

@@ -60,6 +60,26 @@ def ends_as_object(payload: str | Column) -> Column:
     return p.endswith("}") | F.rtrim(p, F.lit(_JSON_WS)).endswith("}")
 
 
+def may_name_domain(payload: str | Column, domains: list[str]) -> Column:
+    """False only for payloads whose ``meta.domain`` cannot be any of
+    ``domains`` -- a test on the raw text, before any parse.
+
+    A JSON string equal to an allowed domain appears in the text literally
+    unless some of its characters are escaped.  Letters, digits, dots and
+    dashes can only be escaped as ``\\uXXXX``; the short escapes stand for
+    quote, backslash, slash and control characters.  So a text with no
+    listed domain and no ``\\u`` cannot match -- or no backslash at all, if
+    a listed domain holds one of the short-escape characters.
+    """
+    p = _c(payload)
+    short_escaped = set('"\\/\b\f\n\r\t')
+    escape = "\\" if any(ch in short_escaped for d in domains for ch in d) else "\\u"
+    test = p.contains(escape)
+    for d in domains:
+        test = test | p.contains(d)
+    return test
+
+
 def partition_key(domain: str | Column) -> Column:
     """Record key: the domain, or ``default_domain`` when there is none."""
     return F.coalesce(_c(domain), F.lit(DEFAULT_KEY))

@@ -7,6 +7,7 @@ from changefeed.operators.ingest import (
     filter_domains,
     frame,
     keyed,
+    prefilter_domains,
     rejects,
     valid,
 )
@@ -24,6 +25,7 @@ __all__ = [
     "malformed",
     "parse",
     "parse_records",
+    "prefilter_domains",
     "ranked",
     "rejects",
     "spread",

@@ -24,7 +24,8 @@ CHANGES_METRIC = "changes"
 def ingest(lines: DataFrame, domains: Iterable[str] | None = None,
            line_col: str = "value") -> DataFrame:
     """Feed lines -> keyed records ``(key, value)``.  Batch or streaming."""
-    return ops.keyed(ops.filter_domains(ops.valid(ops.frame(lines, line_col)), domains))
+    framed = ops.prefilter_domains(ops.frame(lines, line_col), domains)
+    return ops.keyed(ops.filter_domains(ops.valid(framed), domains))
 
 
 def ingest_rejects(lines: DataFrame, line_col: str = "value") -> DataFrame:

@@ -58,8 +58,8 @@ def ingest_valid(spark, sf_dir):
 
 def ingest_allowlist(spark, sf_dir):
     """FLT4: forwarded records of the allow-listed domains."""
-    kept = ops.valid(ops.frame(_lines(spark, sf_dir)))
-    return _payload_id(ops.filter_domains(kept, ALLOW_LIST))
+    framed = ops.prefilter_domains(ops.frame(_lines(spark, sf_dir)), ALLOW_LIST)
+    return _payload_id(ops.filter_domains(ops.valid(framed), ALLOW_LIST))
 
 
 def ingest_keyed(spark, sf_dir):

@@ -126,3 +126,23 @@ def test_quarantine_splits_malformed(spark):
     assert sorted(r["payload"] for r in ops.malformed(text).collect()) == ["[1]", "garbage"]
     with pytest.raises(ValueError):
         jobs.changes(records, on_malformed="drop")
+
+
+def test_allow_list_sees_escaped_domains(lines_df):
+    lines = ['data: {"meta":{"domain":"de\\u002eexample.org"},"id":1}',
+             'data: {"meta":{"domain":"de.example.org"},"id":2}',
+             'data: {"meta":{"domain":"en.example.org"},"id":3}',
+             'data: {"meta":{"domain":"de\\/x"},"id":4}']
+    keys = sorted(r["key"] for r in jobs.ingest(lines_df(lines), ["de.example.org"]).collect())
+    assert keys == ["de.example.org", "de.example.org"]
+    framed = ops.prefilter_domains(ops.frame(lines_df(lines)), ["de.example.org"])
+    assert framed.count() == 2  # the literal and the \u-escaped line stay for the full test
+    # a listed value holding a short-escape character: any backslash must pass
+    odd = ['data: {"meta":{"domain":"a\\/b"},"id":5}', 'data: {"meta":{"domain":"a/b"},"id":6}']
+    assert sorted(r["key"] for r in jobs.ingest(lines_df(odd), ["a/b"]).collect()) == ["a/b", "a/b"]
+
+
+def test_prefilter_drops_unlisted_lines_with_other_escapes(lines_df):
+    lines = ['data: {"meta":{"domain":"en.example.org"},"comment":"say \\"hi\\""}']
+    assert ops.prefilter_domains(ops.frame(lines_df(lines)), ["de.example.org"]).count() == 0
+    assert ops.prefilter_domains(ops.frame(lines_df(lines)), None).count() == 1
