@@ -1,5 +1,5 @@
 """Sinks: keyed records, streaming append, summary overwrite."""
 
-from changefeed.sinks.tables import append_stream, overwrite, write_records
+from changefeed.sinks.tables import append_batches, append_stream, overwrite, write_records
 
-__all__ = ["append_stream", "overwrite", "write_records"]
+__all__ = ["append_batches", "append_stream", "overwrite", "write_records"]

@@ -50,6 +50,45 @@ def append_stream(df: DataFrame, checkpoint: str, *, table: str | None = None,
     return writer.start()
 
 
+BATCH_COLUMN = "batch_id"
+
+
+def append_batches(df: DataFrame, checkpoint: str, path: str, *, fmt: str = "parquet",
+                   trigger: str = "60 seconds", options: dict[str, str] | None = None,
+                   app_id: str | None = None) -> StreamingQuery:
+    """Streaming append through ``foreachBatch``, for formats with no
+    streaming writer, made idempotent by the batch id.
+
+    A micro-batch that is replayed after a failure (``foreachBatch`` is
+    at-least-once) rewrites its own ``batch_id=N`` folder in overwrite mode
+    instead of adding a second copy; a reader sees each batch once (the
+    folder name becomes a ``batch_id`` column).  For ``fmt="delta"`` the
+    writer's transaction options (``txnAppId``/``txnVersion``) give the same
+    guarantee on a single table.
+    """
+    write = batch_writer(path, fmt=fmt, options=options, app_id=app_id or checkpoint)
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return apply_trigger(writer, trigger).start()
+
+
+def batch_writer(path: str, *, fmt: str = "parquet", options: dict[str, str] | None = None,
+                 app_id: str | None = None):
+    """The ``(batch, batch_id)`` function :func:`append_batches` runs for
+    each micro-batch; writing the same batch id twice leaves one copy."""
+    opts = dict(options or {})
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if fmt == "delta":
+            (batch.write.format("delta").mode("append").options(**opts)
+             .option("txnAppId", app_id or path).option("txnVersion", str(batch_id))
+             .save(path))
+        else:
+            (batch.write.format(fmt).mode("overwrite").options(**opts)
+             .save(f"{path}/{BATCH_COLUMN}={batch_id}"))
+
+    return write
+
+
 def overwrite(df: DataFrame, *, table: str | None = None, path: str | None = None,
               fmt: str = "parquet") -> None:
     """Replace the whole table with ``df``.
