@@ -21,6 +21,7 @@ from changefeed.session import build_session  # noqa: E402
 HEADLINE = [
     "feed_data_lines",
     "ingest_valid",
+    "ingest_allowlist",
     "ingest_keyed",
     "changes_flat",
     "domain_edit_counts",

@@ -82,6 +82,8 @@ ORACLE_SQL: dict[str, str] = {
     "parse_quarantine_rejected": f"""{_OBJ} SELECT {_PAYLOAD} AS payload FROM o
         WHERE {_DATA} AND (event_id % 83 = 0 OR event_id % 79 = 0)""",
     "stream_empty_batch": _CHANGES,
+    "stream_changes_batches": _CHANGES,
+    "stream_processing_time": _CHANGES,
     "stream_quarantine_kept": _flat(
         f"{_DATA} AND event_id % 83 <> 0 AND event_id % 79 <> 0",
         domain="CASE WHEN event_id % 73 <> 0 AND event_id % 71 <> 0 THEN event_type || '.example.org' END"),

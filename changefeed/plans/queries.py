@@ -20,9 +20,9 @@ from changefeed import operators as ops
 from changefeed.functions import url_host
 from changefeed.plans import jobs
 from changefeed.session import shared_dir
-from changefeed.sinks import write_records
+from changefeed.sinks import append_batches, append_stream, write_records
 from changefeed.sources import feed_lines, json_events, read_records, render_feed
-from changefeed.streaming import batch_bytes, batch_rows, preview, run_bounded
+from changefeed.streaming import batch_bytes, batch_rows, drain, preview, run_bounded
 
 TZ = "UTC"
 ALLOW_LIST = ("click.example.org", "view.example.org")
@@ -242,6 +242,27 @@ def stream_quarantine_rejected(spark, sf_dir):
     return spark.read.parquet(_stream_quarantine(spark, sf_dir)[1])
 
 
+def stream_changes_batches(spark, sf_dir):
+    """STR4 via foreachBatch: each micro-batch written under its batch id."""
+    base = shared_dir(spark, "stream-batches")
+    _lines(spark, sf_dir).write.text(f"{base}/landing")
+    lines = feed_lines(spark, f"{base}/landing", streaming=True,
+                       max_bytes_per_trigger=batch_bytes(spark))
+    run_bounded(append_batches(jobs.changes(jobs.ingest(lines), TZ), f"{base}/_ckpt",
+                               f"{base}/out", trigger="available_now"))
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
+
+
+def stream_processing_time(spark, sf_dir):
+    """STR1: a fixed-interval trigger, drained and stopped once caught up."""
+    base = shared_dir(spark, "stream-interval")
+    _lines(spark, sf_dir).write.text(f"{base}/landing")
+    lines = feed_lines(spark, f"{base}/landing", streaming=True)
+    drain(append_stream(jobs.changes(jobs.ingest(lines), TZ), f"{base}/_ckpt",
+                        path=f"{base}/out", trigger="1 second"))
+    return spark.read.parquet(f"{base}/out")
+
+
 def json_events_flat(spark, sf_dir):
     """SRC3 batch form: well-formed payloads landed as JSON Lines, scanned
     with the fixed schema and flattened."""
@@ -270,6 +291,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_quarantine_rejected": parse_quarantine_rejected,
     "json_events_flat": json_events_flat,
     "stream_quarantine_kept": stream_quarantine_kept,
+    "stream_changes_batches": stream_changes_batches,
+    "stream_processing_time": stream_processing_time,
     "stream_quarantine_rejected": stream_quarantine_rejected,
     "stream_empty_batch": stream_empty_batch,
     "batch_row_metrics": batch_row_metrics,

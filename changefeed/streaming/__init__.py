@@ -7,13 +7,14 @@ from changefeed.streaming.metrics import (
     preview,
     preview_stream,
 )
-from changefeed.streaming.triggers import apply_trigger, batch_bytes, run_bounded
+from changefeed.streaming.triggers import apply_trigger, batch_bytes, drain, run_bounded
 
 __all__ = [
     "BatchRowsListener",
     "apply_trigger",
     "batch_bytes",
     "batch_rows",
+    "drain",
     "observe_rows",
     "preview",
     "preview_stream",

@@ -35,6 +35,17 @@ def run_bounded(query: StreamingQuery, seconds: float | None = None) -> Streamin
     return query
 
 
+def drain(query: StreamingQuery) -> StreamingQuery:
+    """Let a running query process everything that is available, then stop
+    it (a fixed-interval query caught up, e.g. before maintenance)."""
+    query.processAllAvailable()
+    query.stop()
+    exc = query.exception()
+    if exc is not None:
+        raise exc
+    return query
+
+
 def batch_bytes(spark, waves: int = 4) -> str:
     """A per-trigger byte cap that fills the cluster ``waves`` times.
 
