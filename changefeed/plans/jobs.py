@@ -50,8 +50,7 @@ def stream_ingest(spark: SparkSession, lines_path: str, checkpoint: str, *,
                        max_files_per_trigger=max_files_per_trigger,
                        max_bytes_per_trigger=max_bytes_per_trigger)
     return append_stream(ingest(lines, domains), checkpoint, table=records_table,
-                         path=records_path, fmt=fmt, trigger=trigger, options=options,
-                         query_name=None)
+                         path=records_path, fmt=fmt, trigger=trigger, options=options)
 
 
 def stream_changes(spark: SparkSession, checkpoint: str, *, source_fmt: str = "parquet",

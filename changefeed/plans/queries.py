@@ -41,7 +41,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _payload_id(df: DataFrame) -> DataFrame:
-    return df.select(F.get_json_object("payload", "$.id").cast("long").alias("event_id"), "domain")
+    return df.select(F.get_json_object("payload", "$.id").try_cast("long").alias("event_id"), "domain")
 
 
 # -- ingest -----------------------------------------------------------------

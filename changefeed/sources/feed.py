@@ -7,17 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 def feed_lines(spark: SparkSession, path: str, streaming: bool = False,
                max_files_per_trigger: int | None = None,
-               max_bytes_per_trigger: str | None = None) -> DataFrame:
+               max_bytes_per_trigger: str | None = None,
+               options: dict[str, str] | None = None) -> DataFrame:
     """One row per line (``value STRING``) of the text files under ``path``.
 
     Batch: a split-parallel text scan.  Streaming: a file source that
     picks up files as they land; the per-trigger caps bound each
     micro-batch when a backlog (or ``availableNow``) is drained.  Lines end
-    at ``\\n``, ``\\r\\n`` or ``\\r``.
+    at ``\\n``, ``\\r\\n`` or ``\\r``.  ``options`` pass through to the
+    reader, e.g. ``{"cleanSource": "archive", "sourceArchiveDir": ...}`` so a
+    long-running stream's landing folder (and its listing) stays small.
     """
     if not streaming:
-        return spark.read.text(path)
-    reader = spark.readStream
+        return spark.read.options(**(options or {})).text(path)
+    reader = spark.readStream.options(**(options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if max_bytes_per_trigger:
