@@ -101,3 +101,10 @@ def test_append_batches_is_idempotent_per_batch(spark):
     write(batch0, 0)
     write(batch0, 0)
     assert spark.read.parquet(f"{base}/out").count() == n
+
+
+def test_json_events_array_and_blank_lines(spark, tmp_path):
+    path = tmp_path / "events.json"
+    path.write_text('[{"id":1},{"id":2}]\n\n{"id":3}\n')
+    ids = sorted(r["id"] for r in json_events(spark, str(path)).collect())
+    assert ids == [1, 2, 3]  # an array gives one row per element; a blank line none
