@@ -15,6 +15,10 @@ DEFAULT_KEY = "default_domain"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 HOST_PATTERN = r"^https?://([^/:?#]+)"
 
+# Largest |epoch seconds| a microsecond timestamp holds, less two days of
+# zone offset headroom.
+_MAX_TS_SECONDS = (2**63 - 1) // 1_000_000 - 2 * 86400
+
 # Whitespace a JSON text may end with (RFC 8259 insignificant whitespace).
 _JSON_WS = " \t\r\n"
 
@@ -98,7 +102,10 @@ def epoch_to_string(seconds: str | Column, time_zone: str | None = None) -> Colu
         return F.from_unixtime(seconds, TIME_FORMAT)
     utc_wall = F.timestamp_add("SECOND", seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     wall = F.convert_timezone(F.lit("UTC"), F.lit(time_zone), utc_wall)
-    return F.date_format(wall, TIME_FORMAT)
+    # Beyond what a timestamp holds (about +-292,000 years) the value is null
+    # rather than an overflow error that would fail the whole job.
+    in_range = seconds.between(-_MAX_TS_SECONDS, _MAX_TS_SECONDS)
+    return F.when(in_range, F.date_format(wall, TIME_FORMAT))
 
 
 def url_host(url: str | Column) -> Column:

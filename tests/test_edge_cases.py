@@ -146,3 +146,20 @@ def test_prefilter_drops_unlisted_lines_with_other_escapes(lines_df):
     lines = ['data: {"meta":{"domain":"en.example.org"},"comment":"say \\"hi\\""}']
     assert ops.prefilter_domains(ops.frame(lines_df(lines)), ["de.example.org"]).count() == 0
     assert ops.prefilter_domains(ops.frame(lines_df(lines)), None).count() == 1
+
+
+def test_explicit_zone_never_fails_on_huge_times(spark):
+    vals = [0, -86400, 253402300800, 10**12, 10**15, -10**15, 2**63 - 1, -(2**63)]
+    df = spark.createDataFrame([(f'{{"id":{i},"timestamp":{v}}}',) for i, v in enumerate(vals)],
+                               "payload string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        got = {r["event_id"]: r["event_timestamp"] for r in ops.flatten(ops.parse(df), "UTC").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got[0] == "1970-01-01 00:00:00"
+    assert got[1] == "1969-12-31 00:00:00"
+    assert got[2].endswith("10000-01-01 00:00:00")
+    assert got[3].endswith("33658-09-27 01:46:40")
+    assert [got[i] for i in (4, 5, 6, 7)] == [None] * 4
