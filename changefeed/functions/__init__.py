@@ -8,6 +8,7 @@ from changefeed.functions.columns import (
     DATA_PREFIX,
     DEFAULT_KEY,
     HOST_PATTERN,
+    JSON_READ_OPTIONS,
     decode_utf8,
     ends_as_object,
     epoch_to_string,
@@ -24,6 +25,7 @@ __all__ = [
     "DATA_PREFIX",
     "DEFAULT_KEY",
     "HOST_PATTERN",
+    "JSON_READ_OPTIONS",
     "decode_utf8",
     "ends_as_object",
     "epoch_to_string",

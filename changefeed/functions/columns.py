@@ -15,6 +15,11 @@ DEFAULT_KEY = "default_domain"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 HOST_PATTERN = r"^https?://([^/:?#]+)"
 
+# JSON reader limits: strings of any length are read whole (the reader's
+# default stops at 20M characters).  Nesting depth and number length keep
+# their defaults, close to what a strict Python reader refuses.
+JSON_READ_OPTIONS = {"maxStringLen": str(2**31 - 1)}
+
 # Largest |epoch seconds| a microsecond timestamp holds, less two days of
 # zone offset headroom.
 _MAX_TS_SECONDS = (2**63 - 1) // 1_000_000 - 2 * 86400
@@ -50,7 +55,8 @@ def json_object(payload: str | Column) -> Column:
     Nested values come back as their JSON text, scalars as their text.
     Single quotes are refused, as a strict JSON reader would.
     """
-    return F.from_json(_c(payload), "map<string,string>", {"allowSingleQuotes": "false"})
+    return F.from_json(_c(payload), "map<string,string>",
+                       {"allowSingleQuotes": "false", **JSON_READ_OPTIONS})
 
 
 def ends_as_object(payload: str | Column) -> Column:

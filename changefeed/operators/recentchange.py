@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.functions import decode_utf8, ends_as_object, epoch_to_string, json_object
+from changefeed.functions import (
+    JSON_READ_OPTIONS,
+    decode_utf8,
+    ends_as_object,
+    epoch_to_string,
+    json_object,
+)
 from changefeed.schema import EVENT_SCHEMA
 
 
@@ -17,7 +23,8 @@ def parse(df: DataFrame, payload_col: str = "payload", schema=EVENT_SCHEMA) -> D
     row is kept.  The parse sits in its own projection so each payload is
     parsed once however many fields are selected later.
     """
-    return df.select(F.from_json(F.col(payload_col), schema).alias("_event")).select("_event.*")
+    return df.select(F.from_json(F.col(payload_col), schema, JSON_READ_OPTIONS)
+                     .alias("_event")).select("_event.*")
 
 
 def flatten(parsed: DataFrame, time_zone: str | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from changefeed.functions import JSON_READ_OPTIONS
 from changefeed.schema import EVENT_SCHEMA
 
 
@@ -17,8 +18,8 @@ def json_events(spark: SparkSession, path: str, streaming: bool = False,
     element.
     """
     if not streaming:
-        return spark.read.schema(EVENT_SCHEMA).json(path)
-    reader = spark.readStream.schema(EVENT_SCHEMA)
+        return spark.read.schema(EVENT_SCHEMA).options(**JSON_READ_OPTIONS).json(path)
+    reader = spark.readStream.schema(EVENT_SCHEMA).options(**JSON_READ_OPTIONS)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.json(path)

@@ -163,3 +163,14 @@ def test_explicit_zone_never_fails_on_huge_times(spark):
     assert got[2].endswith("10000-01-01 00:00:00")
     assert got[3].endswith("33658-09-27 01:46:40")
     assert [got[i] for i in (4, 5, 6, 7)] == [None] * 4
+
+
+def test_long_strings_read_whole_and_deep_nesting_refused(lines_df):
+    big = '{"meta":{"domain":"a.example.org"},"comment":"' + "x" * 21_000_000 + '"}'
+    deep = '{"x":' + "[" * 5000 + "]" * 5000 + "}"
+    lines = lines_df(["data: " + big, "data: " + deep])
+    out = jobs.ingest(lines).collect()
+    assert [(r["key"], len(r["value"])) for r in out] == [("a.example.org", len(big))]
+    assert [r["reason"] for r in jobs.ingest_rejects(lines).collect()] == ["invalid_json"]
+    flat = ops.flatten(ops.parse(ops.frame(lines)), "UTC").collect()
+    assert sorted(len(r["comment"] or "") for r in flat) == [0, 21_000_000]
