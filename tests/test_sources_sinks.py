@@ -61,8 +61,11 @@ def test_bounded_run_stops_a_fixed_interval_query(spark):
     spark.createDataFrame([("data: {}",)], "value string").write.text(f"{base}/in")
     lines = feed_lines(spark, f"{base}/in", streaming=True)
     q = append_stream(jobs.ingest(lines), f"{base}/_ckpt", path=f"{base}/out", trigger="1 second")
+    deadline = time.time() + 120
+    while not (q.lastProgress and q.lastProgress["numInputRows"]) and time.time() < deadline:
+        time.sleep(0.5)  # wait for the first batch, however slow the machine
     t0 = time.time()
-    run_bounded(q, 8)
+    run_bounded(q, 3)
     assert not q.isActive
     assert time.time() - t0 < 60
     assert spark.read.parquet(f"{base}/out").count() == 1
