@@ -111,3 +111,18 @@ def test_json_events_array_and_blank_lines(spark, tmp_path):
     path.write_text('[{"id":1},{"id":2}]\n\n{"id":3}\n')
     ids = sorted(r["id"] for r in json_events(spark, str(path)).collect())
     assert ids == [1, 2, 3]  # an array gives one row per element; a blank line none
+
+
+def test_append_stream_bounds_files_per_batch(spark):
+    import glob
+
+    base = shared_dir(spark, "t-files")
+    queries._lines(spark, SF_SMOKE).repartition(6).write.text(f"{base}/landing")
+    lines = feed_lines(spark, f"{base}/landing", streaming=True, max_files_per_trigger=3)
+    q = append_stream(jobs.ingest(lines), f"{base}/_ckpt", path=f"{base}/out",
+                      trigger="available_now", partitions=1)
+    run_bounded(q)
+    written = glob.glob(f"{base}/out/*.parquet")
+    assert len(written) == 2  # two batches, one file each
+    assert spark.read.parquet(f"{base}/out").count() == jobs.ingest(
+        spark.read.text(f"{base}/landing")).count()
