@@ -22,7 +22,8 @@ WIDTH = 220
 NOTES = {
     "ingest_keyed": "The round-robin Exchange spreads the one-row-group test table over the "
                     "cores; a large input skips it. One Generate parses each payload, one parses "
-                    "the small `meta` text, and the validity Filter sits above both. No other shuffle.",
+                    "the small `meta` text, and the validity Filter sits above both. The per-key count "
+                    "is a partial count, one hash Exchange, then a final count.",
     "ingest_allowlist": "The raw-text pre-test (`Contains(..., \\u)` or a listed domain) runs "
                         "before the first JSON parse; the exact `IN` test runs after it.",
     "changes_flat": "The typed `from_json` runs in its own Project; the flat columns are read "
