@@ -48,15 +48,24 @@ def main() -> None:
         return time.perf_counter() - t0
 
     run("changes_flat")  # warm-up: JVM, codegen caches
-    times = {name: round(min(run(name) for _ in range(repeat)), 4) for name in HEADLINE}
+    times: dict[str, float] = {}
+    errors: dict[str, str] = {}
+    for name in HEADLINE:
+        try:
+            times[name] = round(min(run(name) for _ in range(repeat)), 4)
+        except Exception as exc:  # report the rest rather than lose the whole run
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     m = re.search(r"sf([0-9.]+)$", sf_dir)
-    print(json.dumps({
+    result = {
         "metric": "headline_queries_total",
         "value": round(sum(times.values()), 4),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
-    }))
+    }
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
     spark.stop()
 
 
