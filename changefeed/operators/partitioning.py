@@ -20,6 +20,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.isStreaming:
         return df  # a stream's splits are per micro-batch; nothing to check here
     target = min_partitions or parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # a remote (Connect) session: no count, so no blind shuffle
+        return df
+    if splits >= target:
         return df
     return df.repartition(target)

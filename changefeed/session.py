@@ -58,7 +58,10 @@ def parallelism(spark: SparkSession) -> int:
     conf = spark.conf.get("spark.default.parallelism", None)
     if conf:
         return int(conf)
-    return spark.sparkContext.defaultParallelism
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # a remote (Connect) session has no SparkContext here
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
