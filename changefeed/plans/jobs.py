@@ -110,6 +110,15 @@ def _conf(spark: SparkSession, key: str, default: str | None = None) -> str | No
     return spark.conf.get(f"spark.app.{key}", default)
 
 
+CHANGES_TABLE = "recent_changes_stream"
+SUMMARY_TABLE = "domain_edit_counts"
+
+
+def _table_name(spark: SparkSession, name: str) -> str:
+    """``[catalog.][db.]name`` from ``spark.app.catalog`` / ``spark.app.db``."""
+    return ".".join(p for p in (_conf(spark, "catalog"), _conf(spark, "db"), name) if p)
+
+
 def _prefixed(spark: SparkSession, prefix: str) -> dict[str, str]:
     """``spark.app.<prefix>.*`` settings (static or runtime) as options."""
     full = f"spark.app.{prefix}."
@@ -124,12 +133,9 @@ def batch_main(spark: SparkSession | None = None) -> None:
     from changefeed.session import build_session
 
     spark = spark or build_session("changefeed-batch")
-    catalog = _conf(spark, "catalog")
-    db = _conf(spark, "db")
-    prefix = ".".join(p for p in (catalog, db) if p)
-    fmt = _conf(spark, "format", "parquet")
-    domain_edit_counts(spark, src_table=f"{prefix}.recent_changes_stream",
-                       dst_table=f"{prefix}.domain_edit_counts", fmt=fmt)
+    domain_edit_counts(spark, src_table=_table_name(spark, CHANGES_TABLE),
+                       dst_table=_table_name(spark, SUMMARY_TABLE),
+                       fmt=_conf(spark, "format", "parquet"))
 
 
 def ingest_main(spark: SparkSession | None = None) -> None:
@@ -167,16 +173,13 @@ def streaming_main(spark: SparkSession | None = None) -> None:
 
     spark = spark or build_session("changefeed-streaming")
     source_options = _prefixed(spark, "source")
-    catalog = _conf(spark, "catalog")
-    db = _conf(spark, "db")
-    prefix = ".".join(p for p in (catalog, db) if p)
     queries = stream_changes(
         spark,
         _conf(spark, "checkpoint"),
         source_fmt=_conf(spark, "sourceFormat", "kafka"),
         source_path=_conf(spark, "sourcePath"),
         source_options=source_options,
-        table=f"{prefix}.recent_changes_stream",
+        table=_table_name(spark, CHANGES_TABLE),
         fmt=_conf(spark, "format", "parquet"),
         trigger=_conf(spark, "trigger", "60 seconds"),
     )

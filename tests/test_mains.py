@@ -43,3 +43,17 @@ def test_ingest_then_streaming_mains(spark):
     flat = spark.read.table("cf_mains.recent_changes_stream")
     assert flat.count() == sum(keys.values())
     assert flat.columns[:2] == ["event_id", "event_type"]
+
+
+def test_table_names_from_settings(spark):
+    from changefeed.plans.jobs import _table_name
+
+    assert _table_name(spark, "t") == "t"
+    spark.conf.set("spark.app.db", "d")
+    try:
+        assert _table_name(spark, "t") == "d.t"
+        spark.conf.set("spark.app.catalog", "c")
+        assert _table_name(spark, "t") == "c.d.t"
+    finally:
+        spark.conf.unset("spark.app.db")
+        spark.conf.unset("spark.app.catalog")
