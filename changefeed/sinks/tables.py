@@ -27,13 +27,15 @@ def append_stream(df: DataFrame, checkpoint: str, *, table: str | None = None,
     ``path``; for ``fmt="kafka"``, a topic named in ``options``).
 
     The checkpoint records source progress and the sink's commit log, so a
-    restarted query neither loses nor repeats a batch.  ``partitions``
-    coalesces each batch to bound the number of files it adds.
+    restarted query neither loses nor repeats a batch.  ``partitions`` bounds
+    the number of files each batch adds.  It shuffles the finished rows
+    (``repartition``) rather than ``coalesce``: coalescing would pull the
+    whole batch, parse included, into that many tasks.
     """
     if fmt != "kafka" and (table is None) == (path is None):
         raise ValueError("give exactly one of table or path")
     if partitions:
-        df = df.coalesce(partitions)
+        df = df.repartition(partitions)
     writer = (
         df.writeStream.format(fmt)
         .outputMode("append")

@@ -24,7 +24,8 @@ def record_stream(spark: SparkSession, fmt: str = "parquet", path: str | None =
     resume where they stopped.  Any file format: the files under ``path``
     with the fixed keyed schema; a file source has no tip and reads what is
     already there on its first run.  The per-trigger caps (files or bytes)
-    bound the size of each micro-batch when a backlog is drained.
+    bound the size of each micro-batch when a backlog is drained; for a
+    topic, pass ``maxOffsetsPerTrigger`` in ``options`` instead.
     """
     options = dict(options or {})
     reader = spark.readStream.format(fmt)
