@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 2, best run is kept).  Each query's result is fully
+BENCH_REPEAT (default 3, best run is kept).  Each query's result is fully
 materialised with the ``noop`` sink, so nothing is collected to the driver.
 """
 
@@ -36,7 +36,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session("changefeed-bench", f"local[{cpus}]",
                           {"spark.sql.shuffle.partitions": str(cpus),
                            "spark.driver.memory": "8g"})
