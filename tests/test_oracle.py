@@ -47,3 +47,22 @@ def test_feed_rules_at_smoke_scale(spark):
     assert lines.count() == events.count()
     keepalives = lines.where("value = ':ok'").count()
     assert keepalives == events.where("event_id % 97 = 0").count()
+
+
+def test_entry_module_loads_by_path_from_anywhere():
+    import os
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    code = ("import importlib.util, sys\n"
+            f"assert {ROOT!r} not in sys.path\n"
+            f"spec = importlib.util.spec_from_file_location('e', {os.path.join(ROOT, '__spark_entry__.py')!r})\n"
+            "m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)\n"
+            "print(len(m.queries()), len(m.oracle_sql()))\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd="/", env=env, capture_output=True,
+                         text=True, timeout=300, check=True)
+    n_queries, n_oracles = map(int, out.stdout.split())
+    assert n_queries == len(QUERIES) and n_oracles == len(ORACLE)
