@@ -46,75 +46,75 @@ def _payload_id(df: DataFrame) -> DataFrame:
 
 # -- ingest -----------------------------------------------------------------
 
-def feed_data_lines(spark, sf_dir):
+def feed_data_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC1, FLT1, PRJ5: event lines framed to their payload."""
     return ops.frame(_lines(spark, sf_dir))
 
 
-def ingest_valid(spark, sf_dir):
+def ingest_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT2, FLT3, PRJ7: forwarded records (event id, domain)."""
     return _payload_id(ops.valid(ops.frame(_lines(spark, sf_dir))))
 
 
-def ingest_allowlist(spark, sf_dir):
+def ingest_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT4: forwarded records of the allow-listed domains."""
     framed = ops.prefilter_domains(ops.frame(_lines(spark, sf_dir)), ALLOW_LIST)
     return _payload_id(ops.filter_domains(ops.valid(framed), ALLOW_LIST))
 
 
-def ingest_keyed(spark, sf_dir):
+def ingest_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ8, PRJ9, SNK1: keyed records, counted per key."""
     records = jobs.ingest(_lines(spark, sf_dir))
     return records.groupBy("key").agg(F.count(F.lit(1)).alias("record_count"))
 
 
-def ingest_rejects(spark, sf_dir):
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT2, FLT3 rejects: data lines not forwarded, with the reason."""
     return jobs.ingest_rejects(_lines(spark, sf_dir))
 
 
 # -- parse / flatten / summaries --------------------------------------------
 
-def changes_flat(spark, sf_dir):
+def changes_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC3, PRJ1-4, PRJ6: keyed records parsed and flattened."""
     return jobs.changes(jobs.ingest(_lines(spark, sf_dir)), time_zone=TZ)
 
 
-def domain_edit_counts(spark, sf_dir):
+def domain_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG1, SRT1: edits per domain, most first."""
     return jobs.summarize(changes_flat(spark, sf_dir))
 
 
-def page_domain_counts(spark, sf_dir):
+def page_domain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG1, SRT1 over real URLs: pages per host."""
     pages = _t(spark, sf_dir, "pages")
     return ops.ranked(ops.domain_counts(pages, url_host("url")))
 
 
-def source_domain_counts(spark, sf_dir):
+def source_domain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG1 over ``documents.source``."""
     docs = _t(spark, sf_dir, "documents")
     return ops.ranked(ops.domain_counts(docs, "source"))
 
 
-def parse_permissive_nulls(spark, sf_dir):
+def parse_permissive_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC3 on every data line, unvalidated: malformed text -> null row."""
     return ops.flatten(ops.parse(ops.frame(_lines(spark, sf_dir))), TZ)
 
 
-def parse_quarantine_kept(spark, sf_dir):
+def parse_quarantine_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """on_malformed='quarantine': well-formed payloads only."""
     return ops.flatten(ops.parse(ops.well_formed(ops.frame(_lines(spark, sf_dir)))), TZ)
 
 
-def parse_quarantine_rejected(spark, sf_dir):
+def parse_quarantine_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quarantined payloads."""
     return ops.malformed(ops.frame(_lines(spark, sf_dir)))
 
 
 # -- sinks and jobs -------------------------------------------------------
 
-def summary_overwrite_twice(spark, sf_dir):
+def summary_overwrite_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK1 (batch), SRC2 (batch), SRC4, SNK3, JOB3 run twice."""
     base = shared_dir(spark, "summary")
     write_records(jobs.ingest(_lines(spark, sf_dir)), path=f"{base}/records")
@@ -160,7 +160,7 @@ class _StreamBed:
         return self.spark.read.parquet(self.changes)
 
 
-def stream_changes_append(spark, sf_dir):
+def stream_changes_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC1 + SRC2 streaming, SNK2, STR1-4, JOB2 with availableNow."""
     bed = _StreamBed(spark, "stream-append")
     bed.land(_lines(spark, sf_dir))
@@ -168,7 +168,7 @@ def stream_changes_append(spark, sf_dir):
     return bed.table()
 
 
-def stream_restart_no_duplicates(spark, sf_dir):
+def stream_restart_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR2, STR3, STR6: run, restart with nothing new, land more, run."""
     bed = _StreamBed(spark, "stream-restart")
     events = _events(spark, sf_dir)
@@ -184,7 +184,7 @@ def stream_restart_no_duplicates(spark, sf_dir):
     return bed.table()
 
 
-def stream_empty_batch(spark, sf_dir):
+def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT5: a second start with no new input writes nothing."""
     bed = _StreamBed(spark, "stream-empty")
     bed.land(_lines(spark, sf_dir))
@@ -193,7 +193,7 @@ def stream_empty_batch(spark, sf_dir):
     return bed.table()
 
 
-def batch_row_metrics(spark, sf_dir):
+def batch_row_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG2: rows written, summed over the batches' observed metric."""
     bed = _StreamBed(spark, "stream-metrics")
     bed.land(_lines(spark, sf_dir))
@@ -202,19 +202,19 @@ def batch_row_metrics(spark, sf_dir):
     return spark.range(1).select(F.lit(total).cast("long").alias("n"))
 
 
-def preview_rows(spark, sf_dir):
+def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRT2: at most 5 changed rows."""
     return preview(changes_flat(spark, sf_dir), 5)
 
 
-def landed_feed_lines(spark, sf_dir):
+def landed_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC1 over landed text files (batch read of the landing folder)."""
     base = shared_dir(spark, "landed")
     _lines(spark, sf_dir).write.text(f"{base}/landing")
     return ops.frame(feed_lines(spark, f"{base}/landing"))
 
 
-def _stream_quarantine(spark, sf_dir):
+def _stream_quarantine(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Unvalidated records (as another producer might send them) streamed
     with ``on_malformed="quarantine"``; returns (table path, quarantine path)."""
     base = shared_dir(spark, "stream-quarantine")
@@ -232,17 +232,17 @@ def _stream_quarantine(spark, sf_dir):
     return f"{base}/recent_changes_stream", f"{base}/quarantine"
 
 
-def stream_quarantine_kept(spark, sf_dir):
+def stream_quarantine_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOB2 with quarantine: the table holds only well-formed payloads."""
     return spark.read.parquet(_stream_quarantine(spark, sf_dir)[0])
 
 
-def stream_quarantine_rejected(spark, sf_dir):
+def stream_quarantine_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOB2 with quarantine: the side table holds the malformed payloads."""
     return spark.read.parquet(_stream_quarantine(spark, sf_dir)[1])
 
 
-def stream_changes_batches(spark, sf_dir):
+def stream_changes_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR4 via foreachBatch: each micro-batch written under its batch id."""
     base = shared_dir(spark, "stream-batches")
     _lines(spark, sf_dir).write.text(f"{base}/landing")
@@ -253,7 +253,7 @@ def stream_changes_batches(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
-def stream_processing_time(spark, sf_dir):
+def stream_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR1: a fixed-interval trigger, drained and stopped once caught up."""
     base = shared_dir(spark, "stream-interval")
     _lines(spark, sf_dir).write.text(f"{base}/landing")
@@ -263,7 +263,7 @@ def stream_processing_time(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
-def json_events_flat(spark, sf_dir):
+def json_events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC3 batch form: well-formed payloads landed as JSON Lines, scanned
     with the fixed schema and flattened."""
     base = shared_dir(spark, "json-events")
