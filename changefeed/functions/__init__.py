@@ -15,7 +15,6 @@ from changefeed.functions.columns import (
     is_data_line,
     json_object,
     may_name_domain,
-    once,
     partition_key,
     strip_data_prefix,
     url_host,
@@ -32,7 +31,6 @@ __all__ = [
     "is_data_line",
     "json_object",
     "may_name_domain",
-    "once",
     "partition_key",
     "strip_data_prefix",
     "url_host",

@@ -1,6 +1,7 @@
 """DataFrame -> DataFrame operators: ingest, parse/flatten, summaries."""
 
 from changefeed.operators.aggregates import domain_counts, ranked
+from changefeed.operators.evaluation import once
 from changefeed.operators.ingest import (
     REASONS,
     classify,
@@ -23,6 +24,7 @@ __all__ = [
     "frame",
     "keyed",
     "malformed",
+    "once",
     "parse",
     "parse_records",
     "prefilter_domains",

@@ -16,10 +16,10 @@ from changefeed.functions import (
     is_data_line,
     json_object,
     may_name_domain,
-    once,
     partition_key,
     strip_data_prefix,
 )
+from changefeed.operators.evaluation import once
 
 # Why a data line was not forwarded.
 INVALID_UTF8 = "invalid_utf8"

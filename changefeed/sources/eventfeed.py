@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.functions import once
+from changefeed.operators.evaluation import once
 
 # Which event ids become which kind of line (first rule wins).
 #   event_id % 97 = 0  -> ":ok" keep-alive
