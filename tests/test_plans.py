@@ -93,3 +93,20 @@ def test_summary_job_reads_only_domain(spark):
     queries.changes_flat(spark, SF_CHECK).write.parquet(f"{base}/changes")
     text = plan(jobs.summarize(table(spark, path=f"{base}/changes")))
     assert "ReadSchema: struct<domain:string>" in text
+
+
+def test_library_has_no_slow_path_constructs():
+    """No Python UDFs, pandas paths, driver collects, broadcasts, cross joins or
+    local checkpoints anywhere in the library; `.rdd` only to read a partition count."""
+    import pathlib
+
+    root = pathlib.Path(__file__).resolve().parent.parent / "changefeed"
+    banned = ["udf(", "pandas_udf", "mapInPandas", "applyInPandas", "toPandas", ".collect()",
+              "broadcast(", "crossJoin", "localCheckpoint", "mapPartitions"]
+    for path in root.rglob("*.py"):
+        text = path.read_text()
+        for word in banned:
+            assert word not in text, f"{word} in {path}"
+        for line in text.splitlines():
+            if ".rdd" in line:
+                assert ".rdd.getNumPartitions()" in line, f"{path}: {line}"
