@@ -31,6 +31,11 @@ def append_stream(df: DataFrame, checkpoint: str, *, table: str | None = None,
     the number of files each batch adds.  It shuffles the finished rows
     (``repartition``) rather than ``coalesce``: coalescing would pull the
     whole batch, parse included, into that many tasks.
+
+    A Parquet table fed by this sink is read through the sink's commit log,
+    so it must have one writer, the stream: rows a batch job appends to the
+    same folder stay invisible.  Table formats (``iceberg``, ``delta``) have no
+    such limit.
     """
     if fmt != "kafka" and (table is None) == (path is None):
         raise ValueError("give exactly one of table or path")
