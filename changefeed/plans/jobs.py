@@ -53,6 +53,23 @@ def stream_ingest(spark: SparkSession, lines_path: str, checkpoint: str, *,
                          path=records_path, fmt=fmt, trigger=trigger, options=options)
 
 
+def stream_ingest_rejects(spark: SparkSession, lines_path: str, checkpoint: str, path: str, *,
+                          trigger: str = "60 seconds",
+                          max_files_per_trigger: int | None = None,
+                          max_bytes_per_trigger: str | None = None) -> StreamingQuery:
+    """Data lines that ingest does not forward, appended with their
+    ``reason`` -- the table form of a reject log (opt-in).
+
+    A query of its own next to :func:`stream_ingest`, with its own
+    checkpoint: it reads the landed lines again and so parses each payload
+    a second time; the forwarded records are never affected.
+    """
+    lines = feed_lines(spark, lines_path, streaming=True,
+                       max_files_per_trigger=max_files_per_trigger,
+                       max_bytes_per_trigger=max_bytes_per_trigger)
+    return append_stream(ingest_rejects(lines), checkpoint, path=path, trigger=trigger)
+
+
 def stream_changes(spark: SparkSession, checkpoint: str, *, source_fmt: str = "parquet",
                    source_path: str | None = None, source_options: dict[str, str] | None = None,
                    table: str | None = None, path: str | None = None, fmt: str = "parquet",

@@ -49,6 +49,12 @@ FROM events WHERE {where}"""
 _CHANGES = _flat(_VALID)
 _COUNTS = f"""SELECT "domain", count(*) AS edit_count FROM ({_CHANGES}) c GROUP BY 1"""
 
+_REJECTS = f"""{_OBJ} SELECT {_PAYLOAD} AS payload,
+        CASE WHEN event_id % 83 = 0 THEN 'invalid_json'
+             WHEN event_id % 79 = 0 THEN 'not_object'
+             ELSE 'meta_not_object' END AS reason
+        FROM o WHERE {_DATA} AND (event_id % 83 = 0 OR event_id % 79 = 0 OR event_id % 73 = 0)"""
+
 ORACLE_SQL: dict[str, str] = {
     "feed_data_lines": f"{_OBJ} SELECT {_PAYLOAD} AS payload FROM o WHERE {_DATA}",
     "landed_feed_lines": f"{_OBJ} SELECT {_PAYLOAD} AS payload FROM o WHERE {_DATA}",
@@ -57,11 +63,8 @@ ORACLE_SQL: dict[str, str] = {
         WHERE {_VALID} AND {_DOMAIN} IN ('click.example.org', 'view.example.org')""",
     "ingest_keyed": f"""SELECT coalesce({_DOMAIN}, 'default_domain') AS "key", count(*) AS record_count
         FROM events WHERE {_VALID} GROUP BY 1""",
-    "ingest_rejects": f"""{_OBJ} SELECT {_PAYLOAD} AS payload,
-        CASE WHEN event_id % 83 = 0 THEN 'invalid_json'
-             WHEN event_id % 79 = 0 THEN 'not_object'
-             ELSE 'meta_not_object' END AS reason
-        FROM o WHERE {_DATA} AND (event_id % 83 = 0 OR event_id % 79 = 0 OR event_id % 73 = 0)""",
+    "ingest_rejects": _REJECTS,
+    "stream_ingest_rejects": _REJECTS,
     "changes_flat": _CHANGES,
     "domain_edit_counts": _COUNTS,
     "page_domain_counts": """SELECT regexp_extract(url, '^https?://([^/:?#]+)', 1) AS "domain",

@@ -242,6 +242,16 @@ def stream_quarantine_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_stream_quarantine(spark, sf_dir)[1])
 
 
+def stream_ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT2, FLT3 as a stream: the reject log appended next to the ingest."""
+    base = shared_dir(spark, "stream-rejects")
+    _lines(spark, sf_dir).write.text(f"{base}/landing")
+    run_bounded(jobs.stream_ingest_rejects(
+        spark, f"{base}/landing", f"{base}/_ckpt", f"{base}/rejects",
+        trigger="available_now", max_bytes_per_trigger=batch_bytes(spark)))
+    return spark.read.parquet(f"{base}/rejects")
+
+
 def stream_changes_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR4 via foreachBatch: each micro-batch written under its batch id."""
     base = shared_dir(spark, "stream-batches")
@@ -292,6 +302,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_events_flat": json_events_flat,
     "stream_quarantine_kept": stream_quarantine_kept,
     "stream_changes_batches": stream_changes_batches,
+    "stream_ingest_rejects": stream_ingest_rejects,
     "stream_processing_time": stream_processing_time,
     "stream_quarantine_rejected": stream_quarantine_rejected,
     "stream_empty_batch": stream_empty_batch,
