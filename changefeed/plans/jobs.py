@@ -163,7 +163,8 @@ def ingest_main(spark: SparkSession | None = None) -> None:
     ``spark.app.domains`` (comma-separated allow-list; empty = all),
     ``spark.app.sinkFormat`` (default ``kafka``) with ``spark.app.sink.*``
     options (e.g. ``topic``, ``kafka.bootstrap.servers``), or
-    ``spark.app.recordsPath`` for a file sink.
+    ``spark.app.recordsPath`` for a file sink.  With ``spark.app.rejectsPath``
+    (and ``spark.app.rejectsCheckpoint``) the reject log runs alongside.
     """
     from changefeed.session import build_session
 
@@ -171,12 +172,18 @@ def ingest_main(spark: SparkSession | None = None) -> None:
     sink_options = _prefixed(spark, "sink")
     domains = [d.strip() for d in (_conf(spark, "domains", "") or "").split(",") if d.strip()]
     seconds = _conf(spark, "runSeconds")
-    query = stream_ingest(
+    trigger = _conf(spark, "trigger", "60 seconds")
+    started = [stream_ingest(
         spark, _conf(spark, "linesPath"), _conf(spark, "checkpoint"),
         records_path=_conf(spark, "recordsPath"),
         fmt=_conf(spark, "sinkFormat", "kafka"), options=sink_options, domains=domains,
-        trigger=_conf(spark, "trigger", "60 seconds"))
-    run_bounded(query, float(seconds) if seconds else None)
+        trigger=trigger)]
+    if _conf(spark, "rejectsPath"):
+        started.append(stream_ingest_rejects(
+            spark, _conf(spark, "linesPath"), _conf(spark, "rejectsCheckpoint"),
+            _conf(spark, "rejectsPath"), trigger=trigger))
+    for query in started:
+        run_bounded(query, float(seconds) if seconds else None)
 
 
 def streaming_main(spark: SparkSession | None = None) -> None:

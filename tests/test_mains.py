@@ -28,9 +28,13 @@ def test_ingest_then_streaming_mains(spark):
         "spark.app.recordsPath": f"{base}/records",
         "spark.app.trigger": "available_now",
         "spark.app.domains": "click.example.org, view.example.org",
+        "spark.app.rejectsPath": f"{base}/rejects",
+        "spark.app.rejectsCheckpoint": f"{base}/_ckpt_rejects",
     }, jobs.ingest_main)
     keys = Counter(r["key"] for r in spark.read.parquet(f"{base}/records").collect())
     assert set(keys) == {"click.example.org", "view.example.org"}
+    rejects = spark.read.parquet(f"{base}/rejects")
+    assert rejects.count() == jobs.ingest_rejects(spark.read.text(f"{base}/landing")).count() > 0
 
     spark.sql("CREATE DATABASE IF NOT EXISTS cf_mains")
     _with_conf(spark, {
