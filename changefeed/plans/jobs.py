@@ -212,4 +212,7 @@ def streaming_main(spark: SparkSession | None = None) -> None:
 
 
 if __name__ == "__main__":  # pragma: no cover
-    {"batch": batch_main, "ingest": ingest_main, "streaming": streaming_main}[sys.argv[1]]()
+    _commands = {"batch": batch_main, "ingest": ingest_main, "streaming": streaming_main}
+    if len(sys.argv) != 2 or sys.argv[1] not in _commands:
+        sys.exit(f"usage: jobs.py {{{'|'.join(_commands)}}}  (parameters: --conf spark.app.*)")
+    _commands[sys.argv[1]]()
