@@ -32,8 +32,10 @@ def test_restart_adds_nothing_and_new_files_add_only_theirs(spark):
     bed.land(lines.where(F.col("ts") < F.lit(mid)))
     bed.run()
     n1 = bed.table().count()
+    batches = list(bed.metrics)
     bed.run()
     assert bed.table().count() == n1
+    assert bed.metrics == batches  # no new input: no batch with data ran
     bed.land(lines.where(F.col("ts") >= F.lit(mid)))
     bed.run()
     whole = queries.changes_flat(spark, SF_SMOKE)
