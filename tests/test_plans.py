@@ -110,3 +110,19 @@ def test_library_has_no_slow_path_constructs():
         for line in text.splitlines():
             if ".rdd" in line:
                 assert ".rdd.getNumPartitions()" in line, f"{path}: {line}"
+
+
+def test_time_string_uses_cheap_path_when_zones_match(spark):
+    from changefeed import operators as ops
+
+    df = ops.parse(spark.createDataFrame([('{"timestamp":0}',)], "payload string"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        same = plan(ops.flatten(df, "UTC"), "extended")
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        other = plan(ops.flatten(df, "UTC"), "extended")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert "from_unixtime" in same and "convert_timezone" not in same
+    assert "convert_timezone" in other
