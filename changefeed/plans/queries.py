@@ -174,8 +174,12 @@ def stream_restart_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
     # Split the feed in time: the earlier half lands first.
     lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
-    mid = lo + (hi - lo) / 2
     lines = render_feed(events, keep_ts=True)
+    if lo is None:  # no events: one empty landing, nothing to split
+        bed.land(lines)
+        bed.run()
+        return bed.table()
+    mid = lo + (hi - lo) / 2
     bed.land(lines.where(F.col("ts") < F.lit(mid)))
     bed.run()
     bed.run()
