@@ -66,3 +66,13 @@ def test_entry_module_loads_by_path_from_anywhere():
                          text=True, timeout=300, check=True)
     n_queries, n_oracles = map(int, out.stdout.split())
     assert n_queries == len(QUERIES) and n_oracles == len(ORACLE)
+
+
+def test_readme_lists_every_registered_query():
+    import os
+
+    from conftest import ROOT
+
+    readme = open(os.path.join(ROOT, "README.md")).read()
+    missing = [name for name in QUERIES if f"`{name}`" not in readme]
+    assert not missing, missing
