@@ -71,6 +71,7 @@ ORACLE_SQL: dict[str, str] = {
         count(*) AS edit_count FROM pages GROUP BY 1""",
     "source_domain_counts": """SELECT source AS "domain", count(*) AS edit_count FROM documents GROUP BY 1""",
     "summary_overwrite_twice": _COUNTS,
+    "end_to_end_summary": _COUNTS,
     "stream_changes_append": _CHANGES,
     "stream_restart_no_duplicates": _CHANGES,
     "parse_permissive_nulls": _flat(

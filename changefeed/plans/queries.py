@@ -168,6 +168,17 @@ def stream_changes_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bed.table()
 
 
+def end_to_end_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB1 -> JOB2 -> JOB3: ingest stream, changes stream, then the daily
+    summary over the streamed table."""
+    bed = _StreamBed(spark, "end-to-end")
+    bed.land(_lines(spark, sf_dir))
+    bed.run()
+    summary = f"{bed.base}/domain_edit_counts"
+    jobs.domain_edit_counts(spark, src_path=bed.changes, dst_path=summary)
+    return spark.read.parquet(summary)
+
+
 def stream_restart_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR2, STR3, STR6: run, restart with nothing new, land more, run."""
     bed = _StreamBed(spark, "stream-restart")
@@ -299,6 +310,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_domain_counts": source_domain_counts,
     "summary_overwrite_twice": summary_overwrite_twice,
     "stream_changes_append": stream_changes_append,
+    "end_to_end_summary": end_to_end_summary,
     "stream_restart_no_duplicates": stream_restart_no_duplicates,
     "parse_permissive_nulls": parse_permissive_nulls,
     "parse_quarantine_kept": parse_quarantine_kept,
