@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changefeed.llm import bpe, fingerprints, fixity, htmltext, packing, rules, urlrules
+from changefeed.llm import bpe, fingerprints, fixity, htmltext, packing, rules, scoring, urlrules
 from changefeed.llm.common import table, text_or_empty
 from changefeed.operators import once
 
@@ -79,6 +79,11 @@ def op8_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "file", "idx", F.col("start").alias("offset"), "length", "status", "expected", "found")
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's scores under the word counts and the byte trie."""
+    return scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their sequences."""
     pieces = packing.pack(table(spark, sf_dir, "documents"),
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_fingerprints": op5_fingerprints,
     "op6_bpe": op6_bpe,
     "op8_fixity": op8_fixity,
+    "op9_lm_scores": op9_lm_scores,
     "op10_packing": op10_packing,
 }
 
