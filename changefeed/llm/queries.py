@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changefeed.llm import bpe, fingerprints, fixity, htmltext, packing, rules, scoring, urlrules
+from changefeed.llm import bagminhash, bpe, fingerprints, fixity, htmltext, kneser, packing, rules, scoring, urlrules
 from changefeed.llm.common import table, text_or_empty
 from changefeed.operators import once
 
@@ -24,6 +24,14 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's perplexity, its language's threshold and verdict."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    got = kneser.classify(docs, table(spark, sf_dir, "labels"), keep_columns=False)
+    return got.select("doc_id", F.col("kn_model").alias("model"), F.col("kn_symbols").alias("n_symbols"),
+                      "perplexity", "threshold", "kept")
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by the fixed rules, else by the mined ones."""
     judged = urlrules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
@@ -67,6 +75,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the id of its class of near-duplicates."""
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The damaged records of a replica of the pages' archive: in it, every
     97th page has one byte changed and every 13th file is cut short."""
@@ -93,10 +106,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_fingerprints": op5_fingerprints,
     "op6_bpe": op6_bpe,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_fixity": op8_fixity,
     "op9_lm_scores": op9_lm_scores,
     "op10_packing": op10_packing,

@@ -11,10 +11,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from changefeed.llm import packing, rules
+from changefeed.llm import bagminhash, kneser, packing, rules
 from changefeed.llm.common import saved, table
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity is within their language's threshold."""
+    columns = docs.columns
+    return kneser.classify(docs, table(spark, sf_dir, "labels")).where("kept").select(*columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,13 +27,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.apply_policy(rules.ledger(docs)).where("kept").select(*columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return bagminhash.one_of_each(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document with their ids."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
+    ("quality classifier", quality_classifier),
     ("quality rules", quality_rules),
+    ("near-duplicates", near_dedup),
     ("packing", packed),
 ]
 
