@@ -107,20 +107,24 @@ def _followers(keyed: DataFrame) -> DataFrame:
 def with_next(docs: DataFrame, k: int = K) -> DataFrame:
     """Every row with its sketch, and of the next row in descending doc_id
     order (the first after the last) the sketch and as much text as half the
-    row's own length: doc_id, text, n, fp, next_fp, next_text."""
+    row's own length: doc_id, text, n, fp, next_doc_id, next_fp, next_text."""
     t = text_or_empty()
     rows = docs.select(F.col("doc_id"), t.alias("text"))
     rows = rows.withColumns({"k1": F.xxhash64("doc_id", "text"), "k2": F.xxhash64("text", "doc_id"), "n": F.length("text")})
     follow = _followers(rows.drop("text"))
     copy = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("n"))
     here = sketch(rows.withColumn("copy", copy).join(follow.drop("p1", "p2", "pred_n"), ["k1", "k2"]), F.col("text"), "fp", k)
-    there = sketch(rows.withColumn("copy", copy).where("copy = 1").join(follow.drop("copies"), ["k1", "k2"]),
-                   F.col("text"), "next_fp", k)
-    there = there.select(F.col("p1").alias("k1"), F.col("p2").alias("k2"), "next_fp",
+    # Any one copy stands for its text here.  The columns are those of
+    # ``here``, so that the texts' exchange is made once and used twice (an
+    # equality here would become a join key and deal the texts anew).
+    there = rows.withColumn("copy", copy).join(follow, ["k1", "k2"]).where(F.col("copy") >= F.col("copies"))
+    there = sketch(there, F.col("text"), "next_fp", k)
+    there = there.select(F.col("p1").alias("k1"), F.col("p2").alias("k2"), F.col("doc_id").alias("next_id"), "next_fp",
                          F.expr("substring(text, 1, cast(pred_n div 2 as int))").alias("next_text"))
     out = here.join(there, ["k1", "k2"], "left")
     same = F.col("copy") < F.col("copies")  # the next row is another copy of this one
     return out.select("doc_id", "text", "n", "fp",
+                      F.when(same, F.col("doc_id")).otherwise(F.col("next_id")).alias("next_doc_id"),
                       F.when(same, F.col("fp")).otherwise(F.col("next_fp")).alias("next_fp"),
                       F.when(same, F.expr("substring(text, 1, cast(n div 2 as int))"))
                       .otherwise(F.col("next_text")).alias("next_text"))

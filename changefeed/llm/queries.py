@@ -60,7 +60,7 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.as_text(F.col("fp")).alias("fingerprint"),
         fingerprints.as_text(F.col("edited_fp")).alias("edited_fingerprint"),
         fingerprints.resemblance(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
-        fingerprints.resemblance(F.col("fp"), F.col("next_fp")).alias("near_next"))
+        fingerprints.resemblance(F.col("fp"), F.col("next_fp")).alias("near_next"), "next_doc_id")
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
