@@ -86,38 +86,45 @@ class Trie:
             self.log_left.append(_log10(left.astype(float)))
             # Nothing left: the escape is certain.
             self.log_escape_left.append(np.where(q_left > 0, _log10(q_left.astype(float)) - self.log_left[-1], 0.0))
+        self.top = grams.Table(self.keys[order])
+        at, _ = grams.find(self.contexts[order], self.keys[order] >> np.uint64(8))
+        self.top_log = self.log_n[order] - self.log_total[order][at] if len(at) else np.zeros(0)
         self.log_rest = -math.log10(max(1, 256 - len(self.keys[0])))
 
     def log10p(self, keys: np.ndarray) -> np.ndarray:
         """Log10 probability of each gram's symbol in its context."""
-        out = np.zeros(len(keys))
-        todo = np.arange(len(keys))
-        came = np.full(len(keys), -1)  # the context one order higher, if it was seen
-        for k in range(self.order, -1, -1):
+        # The highest order: every key, without any exclusion.
+        at, hit = self.top.find(keys)
+        out = np.where(hit, self.top_log[at], 0.0) if len(self.top_log) else np.zeros(len(keys))
+        todo = np.flatnonzero(~hit)
+        came = self._escape(self.order, keys, todo, np.full(len(todo), -1), out)
+        for k in range(self.order - 1, -1, -1):
             own = keys[todo] & grams.mask(k)
             at, hit = grams.find(self.keys[k], own)
-            node, seen = grams.find(self.contexts[k], own >> np.uint64(8))
-            excluded = came >= 0
-            if k == self.order:
-                total, escape = self.log_total[k], self.log_escape[k]
-                total, escape = (total[node], escape[node]) if len(total) else (out[:0], out[:0])
-            elif len(self.contexts[k]):
-                total, escape = self.log_total[k][node], self.log_escape[k][node]
-                if len(self.log_left[k + 1]):
-                    total = np.where(excluded, self.log_left[k + 1][came], total)
-                    escape = np.where(excluded, self.log_escape_left[k + 1][came], escape)
-            if len(self.keys[k]):
-                out[todo[hit]] += self.log_n[k][at[hit]] - total[hit]
-            miss = ~hit
-            if len(self.contexts[k]):
-                out[todo[miss & seen]] += escape[miss & seen]
-            came = np.where(seen, node, -1)[miss]
-            todo = todo[miss]
-            if not len(todo):
-                return out
+            if hit.any():
+                node, _ = grams.find(self.contexts[k], own[hit] >> np.uint64(8))
+                total = self._left(self.log_total, self.log_left, k, node, came[hit])
+                out[todo[hit]] += self.log_n[k][at[hit]] - total
+            todo, came = todo[~hit], came[~hit]
+            came = self._escape(k, keys, todo, came, out)
         out[todo] += self.log_rest
         return out
 
+    def _left(self, plain, left, k: int, node: np.ndarray, came: np.ndarray) -> np.ndarray:
+        """Order k's table at the nodes; where a longer context was left, that
+        context's table of what it leaves."""
+        got = plain[k][node]
+        if k < self.order and len(left[k + 1]):
+            got = np.where(came >= 0, left[k + 1][came], got)
+        return got
+
+    def _escape(self, k: int, keys, todo, came, out) -> np.ndarray:
+        """Add order k's escapes where its context was seen; the contexts."""
+        node, seen = grams.find(self.contexts[k], (keys[todo] & grams.mask(k)) >> np.uint64(8))
+        if seen.any():
+            out[todo[seen]] += self._left(self.log_escape, self.log_escape_left, k, node[seen], came[seen])
+        return np.where(seen, node, -1)
+
 
 class Shard:
     """A trie for the contexts that end in some pairs of bytes."""

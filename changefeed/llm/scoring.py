@@ -60,7 +60,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             seen: Counter[str] = Counter()
             for t in batch.column(0):
                 seen.update(words(t.as_py()))
-                if len(seen) > 500_000:
+                if len(seen) > 200_000:
                     yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "c"])
                     seen.clear()
             if seen:
@@ -73,15 +73,15 @@ def _words_per_doc(rows: DataFrame, common) -> DataFrame:
     """Per row one line with its number of tokens and, over the common words,
     known tokens and summed logs, then a line per other word with its count."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = (f"uid long, doc_id {id_type}, held_out boolean, score double, word string, n long, "
+    schema = (f"uid long, doc_id {id_type}, held_out boolean, word string, n long, "
               "known long, log_sum double")
-    names = ["uid", "doc_id", "held_out", "score", "word", "n", "known", "log_sum"]
+    names = ["uid", "doc_id", "held_out", "word", "n", "known", "log_sum"]
     types = [pa.string(), pa.int64(), pa.int64(), pa.float64()]
 
     def run(batches):
         table = common.value
         for batch in batches:
-            texts = batch.column(4)
+            texts = batch.column(3)
             at: list[int] = []
             lines: list[tuple] = []
             for i, t in enumerate(texts):
@@ -97,14 +97,14 @@ def _words_per_doc(rows: DataFrame, common) -> DataFrame:
                 lines.append((None, len(ws) + 1, known, logs))
                 lines += rest
                 at += [i] * (len(rest) + 1)
-                if len(lines) > 200_000 or i == len(texts) - 1:
+                if len(lines) > 100_000 or i == len(texts) - 1:
                     take = pa.array(at, pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [*(batch.column(c).take(take) for c in range(4)),
+                        [*(batch.column(c).take(take) for c in range(3)),
                          *(pa.array(c, kind) for c, kind in zip(zip(*lines), types))], names=names)
                     at, lines = [], []
 
-    return rows.select("uid", "doc_id", "held_out", "score", "text").mapInArrow(run, schema)
+    return rows.select("uid", "doc_id", "held_out", "text").mapInArrow(run, schema)
 
 
 def score(docs: DataFrame, order: int = ppm.ORDER, common_words: int = COMMON_WORDS) -> DataFrame:
@@ -123,12 +123,14 @@ def score(docs: DataFrame, order: int = ppm.ORDER, common_words: int = COMMON_WO
     common = spark.sparkContext.broadcast(table)
 
     shards = ppm.train(learnt.select(_joined().alias("bytes")), order)
-    scored = ppm.pretrained(rows.withColumn("bytes", _joined()), shards)
-    parts = saved(_words_per_doc(scored, common), "word-lines")
+    # Two passes, so that a core has one Python worker at a time.
+    scored = ppm.pretrained(rows.select("uid", _joined().alias("bytes")), shards)
+    scored = saved(scored.select("uid", "score"), "scores")
+    parts = saved(_words_per_doc(rows, common), "word-lines")
     rest = (parts.where(F.col("word").isNotNull()).select("uid", "word", "n").join(counts, "word")
             .groupBy("uid").agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more_log")))
     zero = F.lit(0)
-    return parts.where(F.col("word").isNull()).join(rest, "uid", "left").select(
+    return parts.where(F.col("word").isNull()).join(scored, "uid").join(rest, "uid", "left").select(
         "doc_id", "held_out", F.col("n").alias("n_tokens"),
         (F.col("known") + F.coalesce("more_known", zero) + F.lit(1 if ends else 0)).cast("long").alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
