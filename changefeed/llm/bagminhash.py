@@ -11,10 +11,11 @@ order, so a process stops as soon as it is past the latest register.
 Candidates share a band of registers.  Each is verified by the exact overlap
 of the bags (sum of minima over sum of maxima).  First every member of a
 bucket is held against the bucket's first text and the links are joined to
-classes; then, in buckets that still hold more than one class, texts of
-different classes whose registers do not rule the similarity out are held
-against each other.  Members of one class need no more pairs, so a group of
-thousands of copies costs about as many comparisons as it has members.
+classes; then, where the texts met by one first text are still in more than
+one class, those of different classes whose registers do not rule the
+similarity out are held against each other, in blocks, until their classes
+are joined.  Members of one class need no more pairs, so a group of thousands
+of copies costs about as many comparisons as it has members.
 
 Scale: equal texts are one from the start.  Only ids, 384-byte signatures and
 the candidates' texts are shuffled; a large bucket is met in blocks; classes
@@ -45,8 +46,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
-#: Members of a bucket met at once.
-BLOCK = 2000
+#: Members of a group in one block; two blocks are met at once.
+BLOCK = 1000
 #: Texts whose keys are broadcast at most; more are joined by a shuffle.
 BROADCAST_KEYS = 1_000_000
 
@@ -216,49 +217,88 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("tid"), F.col("v").alias("comp")).unionByName(roots)
 
 
+class _Union:
+    """Classes joined so far within one group."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+
+def _links_of(tid, comp, own, sig, texts, lead: int, one_block: bool, least: float, floor: int):
+    """Links (a, b) that join different classes of one group, by exact
+    overlap; pairs whose classes are joined already are passed over."""
+    n = len(tid)
+    sig = np.frombuffer(b"".join(sig), np.uint16).reshape(n, REGISTERS)
+    bags: dict[int, tuple] = {}
+    union, out = _Union(), []
+
+    def bag_of(i):
+        got = bags.get(i)
+        if got is None:
+            k, c = bag(texts[i])
+            got = bags[i] = (k, c, int(c.sum()))
+        return got
+
+    for lo in range(0, n, 64):
+        same = (sig[lo:lo + 64, None, :] == sig[None, :, :]).sum(axis=2)
+        ok = (same >= floor) & (comp[lo:lo + 64, None] != comp[None, :]) & (tid[lo:lo + 64, None] < tid[None, :])
+        ok &= (tid[lo:lo + 64, None] != lead) & (tid[None, :] != lead)  # held against the lead before
+        if not one_block:
+            ok &= own[lo:lo + 64, None] != own[None, :]
+        x, y = np.nonzero(ok)
+        for k in np.argsort(-same[x, y], kind="stable").tolist():
+            i, j = lo + int(x[k]), int(y[k])
+            ri, rj = union.root(int(comp[i])), union.root(int(comp[j]))
+            if ri == rj:
+                continue
+            a, b = bag_of(i), bag_of(j)
+            if min(a[2], b[2]) >= least * max(a[2], b[2]) and similarity(a[:2], b[:2]) >= least:
+                union.up[ri] = rj
+                out.append((int(tid[i]), int(tid[j])))
+    return out
+
+
 def _across(members: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of one bucket and different classes whose signatures do
-    not rule the similarity out.  members: band, n, tid, comp, signature."""
+    """Links (a, b) between different classes of one group.  members: lead, n
+    (rows of the lead), tid, comp, signature, text.  A group is met in pairs
+    of blocks, so that no task holds more than two blocks of one group."""
     spread = (least * (1 - least) / REGISTERS) ** 0.5
     floor = int((least - 4.5 * spread) * REGISTERS)
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    cut = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int"))
-    met = cut.select("band", "tid", "comp", "signature", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
-    met = met.select("band", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "own", "tid", "comp", "signature")
-
-    def pairs(tid, comp, sig, side, i, j):
-        out = []
-        sig = np.frombuffer(b"".join(sig), np.uint16).reshape(len(tid), REGISTERS)
-        for lo in range(0, len(tid), 64):
-            same = (sig[lo:lo + 64, None, :] == sig[None, :, :]).sum(axis=2)
-            ok = (same >= floor) & (comp[lo:lo + 64, None] != comp[None, :]) & (tid[lo:lo + 64, None] < tid[None, :])
-            if i != j:
-                ok &= side[lo:lo + 64, None] != side[None, :]
-            x, y = np.nonzero(ok)
-            out.append((tid[lo + x], tid[y]))
-        return [np.concatenate(c) for c in zip(*out)]
+    cut = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int"))
+    met = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
+    met = met.select("lead", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "tid", "comp", "own", "signature", "text")
 
     def groups(t, final):
-        """(pairs of the whole groups, rows of the one that may go on)."""
-        band, i, j, own, tid, comp = (t.column(c).to_numpy() for c in range(6))
-        sig = t.column(6).to_pylist()
-        change = np.flatnonzero((band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-        edges = [0, *change.tolist(), len(band)] if final else [0, *change.tolist()]
-        found = [pairs(tid[lo:hi], comp[lo:hi], sig[lo:hi], own[lo:hi], i[lo], j[lo])
-                 for lo, hi in zip(edges, edges[1:]) if hi - lo > 1]
+        """(links of the whole groups, rows of the one that may go on)."""
+        lead, i, j, tid, comp, own = (t.column(c).to_numpy() for c in range(6))
+        change = np.flatnonzero((lead[1:] != lead[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+        edges = [0, *change.tolist(), len(lead)] if final else [0, *change.tolist()]
+        found = []
+        for lo, hi in zip(edges, edges[1:]):
+            if hi - lo > 2:
+                sig, text = (t.column(c).slice(lo, hi - lo).to_pylist() for c in (6, 7))
+                found += _links_of(tid[lo:hi], comp[lo:hi], own[lo:hi], sig, text, lead[lo], i[lo] == j[lo], least, floor)
         return found, t.slice(edges[-1])
 
+    def links(found):
+        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
     def run(batches):
         rest = None  # rows come sorted by group; a group may lie across batches
         for batch in batches:
             t = pa.Table.from_batches([batch])
             found, rest = groups(t if rest is None else pa.concat_tables([rest, t]), False)
-            for a, b in found:
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-        for a, b in groups(rest, True)[0] if rest is not None else []:
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            yield links(found)
+        if rest is not None:
+            yield links(groups(rest, True)[0])
 
-    ordered = met.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    ordered = met.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j")
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -281,11 +321,15 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
 
     links = saved(_verified(stars, pool, least), "links")
     classes = saved(components(links), "classes")
-    labelled = members.join(classes, "tid", "left").withColumn("comp", F.coalesce("comp", "tid"))
-    mixed = (labelled.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band"))
-    mixed = saved(labelled.join(mixed, "band", "left_semi").select("band", "n", "tid", "comp"), "mixed")
-    pairs = _across(mixed.join(signed, "tid"), least).join(stars, ["a", "b"], "left_anti")
-    more = saved(_verified(saved(pairs, "across"), pool, least), "more-links")
+    # Two texts of a bucket share its lead, so the leads' stars hold every
+    # candidate pair; those with one class left need no more.
+    group = stars.select(F.col("a").alias("lead"), F.col("b").alias("tid"))
+    group = group.unionByName(group.select("lead", F.col("lead").alias("tid")).distinct())
+    group = group.join(classes, "tid", "left").withColumn("comp", F.coalesce("comp", "tid"))
+    mixed = (group.groupBy("lead").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("n"))
+             .where("x <> y AND n > 2").select("lead", "n"))
+    mixed = saved(group.join(mixed, "lead"), "mixed")
+    more = saved(_across(mixed.join(signed, "tid").join(pool, "tid"), least), "more-links")
     if more.isEmpty():
         return texts, classes
     chain = classes.select(F.col("tid").alias("a"), F.col("comp").alias("b")).where("a <> b")
