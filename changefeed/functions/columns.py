@@ -16,9 +16,9 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 HOST_PATTERN = r"^https?://([^/:?#]+)"
 
 # JSON reader limits: strings of any length are read whole (the reader's
-# default stops at 20M characters).  Nesting depth and number length keep
-# their defaults, close to what a strict Python reader refuses.
-JSON_READ_OPTIONS = {"maxStringLen": str(2**31 - 1)}
+# default stops at 20M characters), and so are numbers (default 1,000 digits).
+# Nesting depth keeps its default, close to what a strict Python reader refuses.
+JSON_READ_OPTIONS = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1)}
 
 # Largest |epoch seconds| a microsecond timestamp holds, less two days of
 # zone offset headroom.

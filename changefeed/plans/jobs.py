@@ -83,9 +83,11 @@ def stream_changes(spark: SparkSession, checkpoint: str, *, source_fmt: str = "p
 
     Rows per batch are published as the ``changes`` observed metric.  With
     ``on_malformed="quarantine"`` malformed payloads are left out of the
-    table; with a ``quarantine_path`` a second query appends them there.
-    Returns the started queries (changes first).
+    table and a second query appends them to ``quarantine_path``, which
+    must be given.  Returns the started queries (changes first).
     """
+    if on_malformed == "quarantine" and quarantine_path is None:
+        raise ValueError("quarantine needs a quarantine_path")
     records = record_stream(spark, source_fmt, source_path, source_options,
                             max_files_per_trigger=max_files_per_trigger,
                             max_bytes_per_trigger=max_bytes_per_trigger)

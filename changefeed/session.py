@@ -48,7 +48,9 @@ def _checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    # Unset (local runs and tests only): give the session its own folder.
+    # Unset: a folder of this machine serves only where everything runs on it.
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="changefeed-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -58,6 +60,7 @@ def append_stream(df: DataFrame, checkpoint: str, *, table: str | None = None,
 
 
 BATCH_COLUMN = "batch_id"
+QUERY_COLUMN = "query_id"
 
 
 def append_batches(df: DataFrame, checkpoint: str, path: str, *, fmt: str = "parquet",
@@ -67,13 +70,23 @@ def append_batches(df: DataFrame, checkpoint: str, path: str, *, fmt: str = "par
     streaming writer, made idempotent by the batch id.
 
     A micro-batch that is replayed after a failure (``foreachBatch`` is
-    at-least-once) rewrites its own ``batch_id=N`` folder in overwrite mode
-    instead of adding a second copy; a reader sees each batch once (the
-    folder name becomes a ``batch_id`` column).  For ``fmt="delta"`` the
+    at-least-once) rewrites its own ``query_id=.../batch_id=N`` folder in
+    overwrite mode instead of adding a second copy; a reader sees each batch
+    once (the folder names become columns).  The query id is the one the
+    checkpoint was created with: a new checkpoint, whose batch numbers start
+    at 0 again, writes to folders of its own and leaves earlier rows alone.  For ``fmt="delta"`` the
     writer's transaction options (``txnAppId``/``txnVersion``) give the same
     guarantee on a single table.
     """
-    write = batch_writer(path, fmt=fmt, options=options, app_id=app_id or checkpoint)
+    owner: list[str] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not owner:
+            meta = batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+            owner.append(json.loads(meta)["id"])
+        folder = path if fmt == "delta" else f"{path}/{QUERY_COLUMN}={owner[0]}"
+        batch_writer(folder, fmt=fmt, options=options, app_id=app_id or owner[0])(batch, batch_id)
+
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return apply_trigger(writer, trigger).start()
 

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: A file source passes over files older than the newest by more than this.
+#: Far beyond any real delay: a late file must not be lost.
+MAX_FILE_AGE = "3650d"
+
 
 def feed_lines(spark: SparkSession, path: str, streaming: bool = False,
                max_files_per_trigger: int | None = None,
@@ -20,7 +24,7 @@ def feed_lines(spark: SparkSession, path: str, streaming: bool = False,
     """
     if not streaming:
         return spark.read.options(**(options or {})).text(path)
-    reader = spark.readStream.options(**(options or {}))
+    reader = spark.readStream.options(**{"maxFileAge": MAX_FILE_AGE, **(options or {})})
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if max_bytes_per_trigger:

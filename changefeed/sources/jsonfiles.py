@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from changefeed.functions import JSON_READ_OPTIONS
 from changefeed.schema import EVENT_SCHEMA
+from changefeed.sources.feed import MAX_FILE_AGE
 
 
 def json_events(spark: SparkSession, path: str, streaming: bool = False,
@@ -19,7 +20,7 @@ def json_events(spark: SparkSession, path: str, streaming: bool = False,
     """
     if not streaming:
         return spark.read.schema(EVENT_SCHEMA).options(**JSON_READ_OPTIONS).json(path)
-    reader = spark.readStream.schema(EVENT_SCHEMA).options(**JSON_READ_OPTIONS)
+    reader = spark.readStream.schema(EVENT_SCHEMA).options(maxFileAge=MAX_FILE_AGE, **JSON_READ_OPTIONS)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.json(path)

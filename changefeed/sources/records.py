@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefeed.schema import KEYED_SCHEMA
+from changefeed.sources.feed import MAX_FILE_AGE
 
 
 def _bus_columns(df: DataFrame) -> DataFrame:
@@ -32,6 +33,7 @@ def record_stream(spark: SparkSession, fmt: str = "parquet", path: str | None =
     if fmt == "kafka":
         options.setdefault("startingOffsets", starting)
         return _bus_columns(reader.options(**options).load())
+    options.setdefault("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         options.setdefault("maxFilesPerTrigger", str(max_files_per_trigger))
     if max_bytes_per_trigger:

@@ -98,8 +98,10 @@ def test_append_batches_is_idempotent_per_batch(spark):
     # a replayed batch (failure between its write and its commit) rewrites its own folder
     from changefeed.sinks.tables import batch_writer
 
-    write = batch_writer(f"{base}/out")
-    first = spark.read.parquet(f"{base}/out/batch_id=0")
+    owner = spark.read.parquet(f"{base}/out").first()["query_id"]
+    out = f"{base}/out/query_id={owner}"
+    write = batch_writer(out)
+    first = spark.read.parquet(f"{out}/batch_id=0")
     batch0 = spark.createDataFrame(first.collect(), first.schema)  # the batch as recomputed
     write(batch0, 0)
     write(batch0, 0)
