@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from changefeed.llm.common import small
+
 #: Characters given to the tokenizer at once, about.
 PART_CHARS = 1 << 16
 _CUT = re.compile(r"(?:[!-~]|[^\W_])(?=[ \n])")
@@ -73,7 +75,7 @@ def encode(df: DataFrame, rank_path: str, pattern: str, text: str = "text",
 
     def run(batches):
         enc = encoding(rank_path, pattern)
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column(batch.schema.get_field_index(text))
             got = pa.array([encode_text(enc, t.as_py() or "", part_chars) for t in texts],
                            pa.list_(pa.int32()))
@@ -89,7 +91,7 @@ def decode(df: DataFrame, rank_path: str, pattern: str, ids: str = "token_ids",
 
     def run(batches):
         enc = encoding(rank_path, pattern)
-        for batch in batches:
+        for batch in small(batches):
             lists = batch.column(batch.schema.get_field_index(ids))
             got = pa.array([enc.decode_bytes(x.values.to_pylist() if x.is_valid else [])
                             for x in lists], pa.binary())

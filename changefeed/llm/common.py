@@ -26,6 +26,14 @@ def words_of(text) -> "F.Column":
     return F.filter(F.split(text, SPACE), lambda w: w != F.lit(""))
 
 
+def small(batches, rows: int = 1000):
+    """The Arrow batches cut to at most ``rows`` rows, which bounds what a
+    worker unpacks at once."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back.
 

@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 START, END = 0xFE, 0xFF
-#: Bytes worked on at once.
-SLICE = 1 << 20
+#: Bytes worked on at once; the arrays of a step are some dozens of times as large.
+SLICE = 1 << 18
+#: Grams a task gathers before it adds up equal ones.
+GATHERED = 1 << 21
 
 
 def mask(order: int) -> np.uint64:
@@ -134,7 +136,7 @@ def counted(df: DataFrame, order: int, group: str | None = None, text: str = "by
                     k, n = np.unique(keys, return_counts=True)
                     got.append(k)
                     ns.append(n)
-                    if sum(map(len, got)) > 2 * SLICE:
+                    if sum(map(len, got)) > GATHERED:
                         k, n = summed(np.concatenate(got), np.concatenate(ns))
                         got, ns = [k], [n]
                 if not got:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changefeed.llm import grams
-from changefeed.llm.common import saved
+from changefeed.llm.common import saved, small
 
 ORDER = 4
 #: Grams in one shard, about; a pair of context bytes is never parted.
@@ -190,7 +190,7 @@ def pretrained(df: DataFrame, shards, text: str = "bytes", to: str = "score") ->
 
         def run(batches, held=held, first=i == 0):
             shard = held.value
-            for batch in batches:
+            for batch in small(batches):
                 got = shard.scores([x or b"" for x in batch.column(where).to_pylist()])
                 columns = batch.columns if first else batch.columns[:-1]
                 if not first:
