@@ -10,11 +10,16 @@ from changefeed.functions.columns import (
     HOST_PATTERN,
     JSON_READ_OPTIONS,
     decode_utf8,
-    ends_as_object,
+    domain_is_not_text,
     epoch_to_string,
     is_data_line,
+    json_elements,
     json_object,
+    last_value,
     may_name_domain,
+    meta_is_text,
+    not_an_object,
+    only_object,
     partition_key,
     strip_data_prefix,
     url_host,
@@ -26,11 +31,16 @@ __all__ = [
     "HOST_PATTERN",
     "JSON_READ_OPTIONS",
     "decode_utf8",
-    "ends_as_object",
+    "domain_is_not_text",
     "epoch_to_string",
     "is_data_line",
+    "json_elements",
     "json_object",
+    "last_value",
     "may_name_domain",
+    "meta_is_text",
+    "not_an_object",
+    "only_object",
     "partition_key",
     "strip_data_prefix",
     "url_host",

@@ -24,9 +24,6 @@ JSON_READ_OPTIONS = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1)
 # zone offset headroom.
 _MAX_TS_SECONDS = (2**63 - 1) // 1_000_000 - 2 * 86400
 
-# Whitespace a JSON text may end with (RFC 8259 insignificant whitespace).
-_JSON_WS = " \t\r\n"
-
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -59,15 +56,76 @@ def json_object(payload: str | Column) -> Column:
                        {"allowSingleQuotes": "false", **JSON_READ_OPTIONS})
 
 
-def ends_as_object(payload: str | Column) -> Column:
-    """The object is the last thing in the text (trailing whitespace only).
+def _mark(payload: Column) -> Column:
+    return F.xxhash64(payload).cast("string")
+
+
+def json_elements(payload: str | Column) -> Column:
+    """Parse a payload as the first element of an array of objects.
 
     The JSON reader stops after the first complete value, so a text such as
-    ``{"id":8} trailing`` parses; a strict reader refuses it.
+    ``{"id":8} trailing`` would parse.  Inside an array, closed by an element
+    that marks this text, only a payload that is one whole object gives two
+    elements with the mark as the second (see :func:`only_object`).
+    """
+    p = _c(payload)
+    closed = F.concat(F.lit("["), p, F.lit(',{"":"'), _mark(p), F.lit('"}]'))
+    return F.from_json(closed, "array<map<string,string>>",
+                       {"allowSingleQuotes": "false", **JSON_READ_OPTIONS})
+
+
+def only_object(elements: str | Column, payload: str | Column) -> Column:
+    """The object of a payload parsed by :func:`json_elements`; null when the
+    payload is anything but one JSON object."""
+    e, p = _c(elements), _c(payload)
+    whole = (F.size(e) == 2) & (F.get(e, F.lit(1))[""] == _mark(p))
+    return F.when(whole & ~_has_odd_number(p), F.get(e, F.lit(0)))
+
+
+def _has_odd_number(payload: Column) -> Column:
+    """A number word that the JSON reader takes and a strict one does not
+    (``+INF``, ``-INF``, ``+Infinity``); ``NaN`` and ``Infinity`` are fine in both."""
+    may = payload.contains("INF") | payload.contains("+I") | payload.contains("+N")
+    outside = F.regexp_replace(F.regexp_replace(payload, r"(?s)\\.", ""), '"[^"]*"', '""')
+    return may & outside.rlike("INF|[+](Infinity|NaN)")
+
+
+def last_value(m: str | Column, key: str) -> Column:
+    """A map's value for ``key``, of repeated keys the last (as a strict
+    reader and the typed parse take it)."""
+    m = _c(m)
+    keys = F.map_keys(m)
+    back = F.array_position(F.reverse(keys), key).cast("int")
+    return F.when(back > 0, F.get(F.map_values(m), F.size(keys) - back))
+
+
+def meta_is_text(payload: str | Column) -> Column:
+    """``meta`` is a JSON string (whose text may look like an object).
+
+    Only a text that may hold such a string is parsed again: one with
+    ``"meta"`` before a quote, or with an escape that may spell the key.
     """
     p = _c(payload)
-    # Almost every payload ends in "}" exactly; only the rest pay for the trim.
-    return p.endswith("}") | F.rtrim(p, F.lit(_JSON_WS)).endswith("}")
+    may = p.rlike(r'"meta"[ \t\r\n]*:[ \t\r\n]*"') | p.contains("\\u006") | p.contains("\\u007")
+    typed = F.from_json(p, "struct<meta: map<string,string>>", JSON_READ_OPTIONS)["meta"]
+    return may & typed.isNull()
+
+
+def domain_is_not_text(domain: str | Column, meta_text: str | Column) -> Column:
+    """``domain`` (its text form) was a JSON number, boolean, array or object."""
+    d = _c(domain)
+    may = d.rlike(r"^(-?[0-9]|[\[{]|true$|false$|NaN$|-?Infinity$)")
+    kind = F.schema_of_variant(F.from_json(_c(meta_text), "struct<domain: variant>", JSON_READ_OPTIONS)["domain"])
+    return may & F.coalesce(kind != "STRING", F.lit(True))
+
+
+def not_an_object(payload: str | Column) -> Column:
+    """Valid JSON whose top level is an array or a scalar (one value only)."""
+    p = _c(payload)
+    closed = F.concat(F.lit("["), p, F.lit(',"'), _mark(p), F.lit('"]'))
+    values = F.try_parse_json(closed).cast("array<variant>")
+    whole = (F.size(values) == 2) & (F.get(values, F.lit(1)).cast("string") == _mark(p))
+    return F.coalesce(whole, F.lit(False))
 
 
 def may_name_domain(payload: str | Column, domains: list[str]) -> Column:
@@ -104,13 +162,13 @@ def epoch_to_string(seconds: str | Column, time_zone: str | None = None) -> Colu
     matter.
     """
     seconds = _c(seconds)
+    # Beyond what a timestamp holds (about +-292,000 years) the value is null
+    # in either way, not a wrapped date or an error that fails the whole job.
+    in_range = seconds.between(-_MAX_TS_SECONDS, _MAX_TS_SECONDS)
     if time_zone is None:
-        return F.from_unixtime(seconds, TIME_FORMAT)
+        return F.when(in_range, F.from_unixtime(seconds, TIME_FORMAT))
     utc_wall = F.timestamp_add("SECOND", seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     wall = F.convert_timezone(F.lit("UTC"), F.lit(time_zone), utc_wall)
-    # Beyond what a timestamp holds (about +-292,000 years) the value is null
-    # rather than an overflow error that would fail the whole job.
-    in_range = seconds.between(-_MAX_TS_SECONDS, _MAX_TS_SECONDS)
     return F.when(in_range, F.date_format(wall, TIME_FORMAT))
 
 

@@ -13,12 +13,13 @@ from changefeed.operators.ingest import (
     valid,
 )
 from changefeed.operators.partitioning import spread
-from changefeed.operators.recentchange import flatten, malformed, parse, parse_records, well_formed
+from changefeed.operators.recentchange import domains, flatten, malformed, parse, parse_records, well_formed
 
 __all__ = [
     "REASONS",
     "classify",
     "domain_counts",
+    "domains",
     "filter_domains",
     "flatten",
     "frame",

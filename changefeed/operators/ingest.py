@@ -12,10 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changefeed.functions import (
-    ends_as_object,
+    domain_is_not_text,
     is_data_line,
+    json_elements,
     json_object,
+    last_value,
     may_name_domain,
+    meta_is_text,
+    not_an_object,
+    only_object,
     partition_key,
     strip_data_prefix,
 )
@@ -26,7 +31,8 @@ INVALID_UTF8 = "invalid_utf8"
 INVALID_JSON = "invalid_json"
 NOT_OBJECT = "not_object"
 META_NOT_OBJECT = "meta_not_object"
-REASONS = (INVALID_UTF8, INVALID_JSON, NOT_OBJECT, META_NOT_OBJECT)
+DOMAIN_NOT_STRING = "domain_not_string"
+REASONS = (INVALID_UTF8, INVALID_JSON, NOT_OBJECT, META_NOT_OBJECT, DOMAIN_NOT_STRING)
 
 
 def frame(lines: DataFrame, line_col: str = "value") -> DataFrame:
@@ -36,38 +42,43 @@ def frame(lines: DataFrame, line_col: str = "value") -> DataFrame:
     )
 
 
-def classify(framed: DataFrame, payload_col: str = "payload") -> DataFrame:
+def classify(framed: DataFrame, payload_col: str = "payload", fields: Iterable[str] = ()) -> DataFrame:
     """Add ``domain`` and ``reason`` (null when the record is forwarded).
 
-    A record is forwarded when its payload is valid UTF-8, a JSON object
-    with nothing after it, and its ``meta`` is absent or an object.  The
-    payload is parsed once into a string map; only the small ``meta`` text
-    is parsed a second time.
+    A record is forwarded when its payload is valid UTF-8, one JSON object
+    with nothing after it, its ``meta`` is absent or an object, and the
+    domain in it is absent, null or a string.  The payload is parsed once
+    into a string map; only the small ``meta`` text is parsed a second time.
+    ``fields`` adds the text of further top-level fields from that parse.
     """
     payload = F.col(payload_col)
     m = F.col("_obj")
     has_meta = F.map_contains_key(m, "meta")
+    meta_text = last_value(m, "meta")
     meta = F.col("_meta")
+    domain = last_value(meta, "domain")
     reason = (
         F.when(~F.is_valid_utf8(payload), F.lit(INVALID_UTF8))
-        # valid JSON whose top level is an array or a scalar
-        .when(m.isNull() & F.try_parse_json(payload).isNotNull(), F.lit(NOT_OBJECT))
-        .when(m.isNull() | ~ends_as_object(payload), F.lit(INVALID_JSON))
-        .when(has_meta & meta.isNull(), F.lit(META_NOT_OBJECT))
+        .when(m.isNull() & not_an_object(payload), F.lit(NOT_OBJECT))
+        .when(m.isNull(), F.lit(INVALID_JSON))
+        .when(has_meta & (meta.isNull() | meta_is_text(payload)), F.lit(META_NOT_OBJECT))
+        .when(domain_is_not_text(domain, meta_text), F.lit(DOMAIN_NOT_STRING))
     )
-    parsed = once(framed, json_object(payload), "_obj")
-    parsed = once(parsed, F.when(has_meta, json_object(m["meta"])), "_meta")
+    parsed = once(framed, json_elements(payload), "_elements")
+    parsed = once(parsed, only_object("_elements", payload), "_obj")
+    parsed = once(parsed, F.when(has_meta, json_object(meta_text)), "_meta")
     return parsed.select(
         *[F.col(c) for c in framed.columns],
-        meta["domain"].alias("domain"),
+        *[last_value(m, f).alias(f) for f in fields],
+        domain.alias("domain"),
         reason.alias("reason"),
     )
 
 
-def valid(framed: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """Forwarded records: the framed columns plus ``domain``."""
+def valid(framed: DataFrame, payload_col: str = "payload", fields: Iterable[str] = ()) -> DataFrame:
+    """Forwarded records: the framed columns plus ``fields`` and ``domain``."""
     return (
-        classify(framed, payload_col)
+        classify(framed, payload_col, fields)
         .where(F.col("reason").isNull())
         .drop("reason")
     )
@@ -78,10 +89,6 @@ def rejects(framed: DataFrame, payload_col: str = "payload") -> DataFrame:
     return classify(framed, payload_col).where(F.col("reason").isNotNull()).drop("domain")
 
 
-# Above this many allowed domains the raw-text pre-test costs more than it saves.
-PREFILTER_MAX_DOMAINS = 64
-
-
 def filter_domains(records: DataFrame, domains: Iterable[str] | None = None,
                    domain_col: str = "domain") -> DataFrame:
     """Allow-list by domain.  No list (or an empty one) keeps everything;
@@ -98,10 +105,12 @@ def prefilter_domains(framed: DataFrame, domains: Iterable[str] | None = None,
     domain (see :func:`changefeed.functions.may_name_domain`).
 
     Exact: it only removes lines :func:`filter_domains` would drop anyway.
-    With a short allow-list most lines of a busy feed are never parsed.
+    With a short allow-list most lines of a busy feed are never parsed; each
+    listed domain is one more search of the text, so leave this step out
+    (``jobs.ingest(..., pretest=False)``) for a list of hundreds.
     """
     allowed = sorted(set(domains or ()))
-    if not allowed or len(allowed) > PREFILTER_MAX_DOMAINS:
+    if not allowed:
         return framed
     return framed.where(may_name_domain(payload_col, allowed))
 

@@ -16,15 +16,20 @@ from pyspark.sql.streaming import StreamingQuery
 from changefeed import operators as ops
 from changefeed.sinks import append_stream, overwrite
 from changefeed.sources import feed_lines, record_stream, table
-from changefeed.streaming import observe_rows, run_bounded
+from changefeed.streaming import BatchRowsListener, batch_bytes, observe_rows, run_all
 
 CHANGES_METRIC = "changes"
 
 
 def ingest(lines: DataFrame, domains: Iterable[str] | None = None,
-           line_col: str = "value") -> DataFrame:
-    """Feed lines -> keyed records ``(key, value)``.  Batch or streaming."""
-    framed = ops.prefilter_domains(ops.frame(lines, line_col), domains)
+           line_col: str = "value", pretest: bool = True) -> DataFrame:
+    """Feed lines -> keyed records ``(key, value)``.  Batch or streaming.
+
+    ``pretest`` searches the raw text for the allowed domains before it is
+    parsed (same rows; worth it for lists up to some dozens)."""
+    framed = ops.frame(lines, line_col)
+    if pretest:
+        framed = ops.prefilter_domains(framed, domains)
     return ops.keyed(ops.filter_domains(ops.valid(framed), domains))
 
 
@@ -44,11 +49,16 @@ def stream_ingest(spark: SparkSession, lines_path: str, checkpoint: str, *,
                   fmt: str = "parquet", options: dict[str, str] | None = None,
                   domains: Iterable[str] | None = None, trigger: str = "60 seconds",
                   max_files_per_trigger: int | None = None,
-                  max_bytes_per_trigger: str | None = None) -> StreamingQuery:
-    """Landed feed lines -> keyed records on a bus topic or a table."""
+                  max_bytes_per_trigger: str | None = None,
+                  source_options: dict[str, str] | None = None) -> StreamingQuery:
+    """Landed feed lines -> keyed records on a bus topic or a table.
+
+    ``source_options`` go to the file source, e.g. ``cleanSource`` so that a
+    long-running stream does not relist an ever-growing folder.
+    """
     lines = feed_lines(spark, lines_path, streaming=True,
                        max_files_per_trigger=max_files_per_trigger,
-                       max_bytes_per_trigger=max_bytes_per_trigger)
+                       max_bytes_per_trigger=max_bytes_per_trigger, options=source_options)
     return append_stream(ingest(lines, domains), checkpoint, table=records_table,
                          path=records_path, fmt=fmt, trigger=trigger, options=options)
 
@@ -77,14 +87,17 @@ def stream_changes(spark: SparkSession, checkpoint: str, *, source_fmt: str = "p
                    on_malformed: str = "keep", quarantine_path: str | None = None,
                    quarantine_checkpoint: str | None = None,
                    max_files_per_trigger: int | None = None,
-                   max_bytes_per_trigger: str | None = None) -> list[StreamingQuery]:
+                   max_bytes_per_trigger: str | None = None,
+                   partitions: int | None = None,
+                   options: dict[str, str] | None = None) -> list[StreamingQuery]:
     """Keyed records -> parse -> flatten -> append, one micro-batch per
     trigger.
 
     Rows per batch are published as the ``changes`` observed metric.  With
     ``on_malformed="quarantine"`` malformed payloads are left out of the
     table and a second query appends them to ``quarantine_path``, which
-    must be given.  Returns the started queries (changes first).
+    must be given.  ``partitions`` bounds the files each batch writes and
+    ``options`` go to the sink.  Returns the started queries (changes first).
     """
     if on_malformed == "quarantine" and quarantine_path is None:
         raise ValueError("quarantine needs a quarantine_path")
@@ -92,7 +105,8 @@ def stream_changes(spark: SparkSession, checkpoint: str, *, source_fmt: str = "p
                             max_files_per_trigger=max_files_per_trigger,
                             max_bytes_per_trigger=max_bytes_per_trigger)
     flat = observe_rows(changes(records, time_zone, on_malformed), CHANGES_METRIC)
-    started = [append_stream(flat, checkpoint, table=table, path=path, fmt=fmt, trigger=trigger)]
+    started = [append_stream(flat, checkpoint, table=table, path=path, fmt=fmt, trigger=trigger,
+                             options=options, partitions=partitions)]
     if quarantine_path is not None:
         if quarantine_checkpoint is None:
             raise ValueError("quarantine_path needs quarantine_checkpoint")
@@ -125,6 +139,11 @@ def domain_edit_counts(spark: SparkSession, *, src_table: str | None = None,
     overwrite(counts, table=dst_table, path=dst_path, fmt=fmt)
 
 
+def changed_domains(records: DataFrame, value_col: str = "value") -> DataFrame:
+    """Keyed records -> ``domain`` only, for a summary straight from records."""
+    return ops.domains(records.select(records[value_col].cast("string").alias("payload")))
+
+
 def _conf(spark: SparkSession, key: str, default: str | None = None) -> str | None:
     return spark.conf.get(f"spark.app.{key}", default)
 
@@ -144,6 +163,19 @@ def _prefixed(spark: SparkSession, prefix: str) -> dict[str, str]:
     return {k[len(full):]: v for k, v in spark.conf.getAll.items() if k.startswith(full)}
 
 
+def _caps(spark: SparkSession) -> dict:
+    """``spark.app.maxFilesPerTrigger`` / ``maxBytesPerTrigger``; with neither,
+    a byte cap that fills the cluster, so a backlog is never one batch."""
+    files, size = _conf(spark, "maxFilesPerTrigger"), _conf(spark, "maxBytesPerTrigger")
+    return {"max_files_per_trigger": int(files) if files else None,
+            "max_bytes_per_trigger": size or (None if files else batch_bytes(spark))}
+
+
+def _seconds(spark: SparkSession) -> float | None:
+    value = _conf(spark, "runSeconds")
+    return float(value) if value else None
+
+
 def batch_main(spark: SparkSession | None = None) -> None:
     """``spark-submit`` entry of the daily summary.
 
@@ -166,38 +198,49 @@ def ingest_main(spark: SparkSession | None = None) -> None:
     ``spark.app.sinkFormat`` (default ``kafka``) with ``spark.app.sink.*``
     options (e.g. ``topic``, ``kafka.bootstrap.servers``), or
     ``spark.app.recordsPath`` for a file sink.  With ``spark.app.rejectsPath``
-    (and ``spark.app.rejectsCheckpoint``) the reject log runs alongside.
+    (and ``spark.app.rejectsCheckpoint``) the reject log runs alongside; both
+    end at one deadline, and if one fails both end.  ``spark.app.source.*``
+    are options of the file source, ``spark.app.maxFilesPerTrigger`` and
+    ``spark.app.maxBytesPerTrigger`` bound a batch.
     """
     from changefeed.session import build_session
 
     spark = spark or build_session("changefeed-ingest")
     sink_options = _prefixed(spark, "sink")
     domains = [d.strip() for d in (_conf(spark, "domains", "") or "").split(",") if d.strip()]
-    seconds = _conf(spark, "runSeconds")
     trigger = _conf(spark, "trigger", "60 seconds")
     started = [stream_ingest(
         spark, _conf(spark, "linesPath"), _conf(spark, "checkpoint"),
         records_path=_conf(spark, "recordsPath"),
         fmt=_conf(spark, "sinkFormat", "kafka"), options=sink_options, domains=domains,
-        trigger=trigger)]
+        trigger=trigger, source_options=_prefixed(spark, "source"), **_caps(spark))]
     if _conf(spark, "rejectsPath"):
         started.append(stream_ingest_rejects(
             spark, _conf(spark, "linesPath"), _conf(spark, "rejectsCheckpoint"),
-            _conf(spark, "rejectsPath"), trigger=trigger))
-    for query in started:
-        run_bounded(query, float(seconds) if seconds else None)
+            _conf(spark, "rejectsPath"), trigger=trigger, **_caps(spark)))
+    run_all(started, _seconds(spark))
+
+
+def _report(name: str | None, batch_id: int, rows: int) -> None:
+    print(f"batch {batch_id}: {rows} rows", flush=True)
 
 
 def streaming_main(spark: SparkSession | None = None) -> None:
-    """``spark-submit`` entry of the streaming job; runs until stopped.
+    """``spark-submit`` entry of the streaming job; runs until stopped, or for
+    ``spark.app.runSeconds`` seconds, and prints each batch's row count.
 
     ``spark.app.sourceFormat`` and ``spark.app.source.*`` options (e.g. a
     bus topic), ``spark.app.catalog``/``db``, ``spark.app.checkpoint``,
-    ``spark.app.trigger`` (default ``60 seconds``), ``spark.app.format``.
+    ``spark.app.trigger`` (default ``60 seconds``), ``spark.app.format`` and
+    ``spark.app.sink.*`` options, ``spark.app.timeZone``,
+    ``spark.app.partitions`` (files a batch),
+    ``spark.app.maxFilesPerTrigger`` / ``maxBytesPerTrigger``, and
+    ``spark.app.quarantinePath`` with ``spark.app.quarantineCheckpoint``.
     """
     from changefeed.session import build_session
 
     spark = spark or build_session("changefeed-streaming")
+    partitions, quarantine = _conf(spark, "partitions"), _conf(spark, "quarantinePath")
     source_options = _prefixed(spark, "source")
     queries = stream_changes(
         spark,
@@ -208,9 +251,20 @@ def streaming_main(spark: SparkSession | None = None) -> None:
         table=_table_name(spark, CHANGES_TABLE),
         fmt=_conf(spark, "format", "parquet"),
         trigger=_conf(spark, "trigger", "60 seconds"),
+        time_zone=_conf(spark, "timeZone"),
+        on_malformed="quarantine" if quarantine else "keep",
+        quarantine_path=quarantine,
+        quarantine_checkpoint=_conf(spark, "quarantineCheckpoint"),
+        partitions=int(partitions) if partitions else None,
+        options=_prefixed(spark, "sink"),
+        **_caps(spark),
     )
-    for q in queries:
-        run_bounded(q)
+    counts = BatchRowsListener(CHANGES_METRIC, callback=_report)
+    spark.streams.addListener(counts)
+    try:
+        run_all(queries, _seconds(spark))
+    finally:
+        spark.streams.removeListener(counts)
 
 
 if __name__ == "__main__":  # pragma: no cover

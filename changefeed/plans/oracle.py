@@ -94,5 +94,11 @@ ORACLE_SQL: dict[str, str] = {
     "stream_quarantine_rejected": f"""{_OBJ} SELECT {_PAYLOAD} AS payload FROM o
         WHERE {_DATA} AND (event_id % 83 = 0 OR event_id % 79 = 0)""",
     "batch_row_metrics": f"SELECT count(*) AS n FROM events WHERE {_VALID}",
-    # preview_rows: a 5-row sample has no single right answer; rows-only check.
+    "preview_rows": f"""SELECT least(count(*), 5) AS n_shown, least(count(*), 5) AS n_known,
+        count(*) AS n_rows FROM events WHERE {_VALID}""",
+    "catalog_tables_summary": _COUNTS,
+    "summary_order": f"""SELECT *, row_number() OVER (ORDER BY edit_count DESC, "domain" NULLS FIRST) AS place
+        FROM ({_COUNTS}) s""",
+    "ingest_records": f"""{_OBJ} SELECT coalesce({_DOMAIN}, 'default_domain') AS "key", {_PAYLOAD} AS payload
+        FROM o WHERE {_VALID}""",
 }

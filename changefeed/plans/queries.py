@@ -40,8 +40,10 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render_feed(_events(spark, sf_dir))
 
 
-def _payload_id(df: DataFrame) -> DataFrame:
-    return df.select(F.get_json_object("payload", "$.id").try_cast("long").alias("event_id"), "domain")
+def _with_id(framed: DataFrame) -> DataFrame:
+    """Valid records as (event id, domain); the id comes from the one parse."""
+    kept = ops.valid(framed, fields=["id"])
+    return kept.select(F.col("id").try_cast("long").alias("event_id"), "domain")
 
 
 # -- ingest -----------------------------------------------------------------
@@ -53,13 +55,13 @@ def feed_data_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT2, FLT3, PRJ7: forwarded records (event id, domain)."""
-    return _payload_id(ops.valid(ops.frame(_lines(spark, sf_dir))))
+    return _with_id(ops.frame(_lines(spark, sf_dir)))
 
 
 def ingest_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT4: forwarded records of the allow-listed domains."""
     framed = ops.prefilter_domains(ops.frame(_lines(spark, sf_dir)), ALLOW_LIST)
-    return _payload_id(ops.filter_domains(ops.valid(framed), ALLOW_LIST))
+    return ops.filter_domains(_with_id(framed), ALLOW_LIST)
 
 
 def ingest_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +70,13 @@ def ingest_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.groupBy("key").agg(F.count(F.lit(1)).alias("record_count"))
 
 
+def ingest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ8, PRJ9, SNK1: the written records, key and payload text."""
+    base = shared_dir(spark, "records")
+    write_records(jobs.ingest(_lines(spark, sf_dir)), path=base)
+    return read_records(spark, path=base).select("key", F.col("value").cast("string").alias("payload"))
+
+
 def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT2, FLT3 rejects: data lines not forwarded, with the reason."""
     return jobs.ingest_rejects(_lines(spark, sf_dir))
@@ -82,7 +91,16 @@ def changes_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def domain_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG1, SRT1: edits per domain, most first."""
-    return jobs.summarize(changes_flat(spark, sf_dir))
+    return jobs.summarize(jobs.changed_domains(jobs.ingest(_lines(spark, sf_dir))))
+
+
+def summary_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT1: the place of every domain in the written summary, read back in
+    file order."""
+    base = shared_dir(spark, "summary-order")
+    domain_edit_counts(spark, sf_dir).coalesce(1).write.parquet(f"{base}/summary")
+    rows = spark.read.parquet(f"{base}/summary")  # one row per domain, one file
+    return rows.withColumn("place", F.monotonically_increasing_id() + 1)
 
 
 def page_domain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,8 +243,14 @@ def batch_row_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRT2: at most 5 changed rows."""
-    return preview(changes_flat(spark, sf_dir), 5)
+    """SRT2: how many rows a preview of 5 shows, how many of them are in the
+    table, and the table's rows."""
+    flat = changes_flat(spark, sf_dir)
+    shown = preview(flat, 5).select("event_id")
+    known = shown.join(flat.select("event_id"), "event_id", "left_semi")
+    one = [shown.agg(F.count(F.lit(1)).alias("n_shown")), known.agg(F.count(F.lit(1)).alias("n_known")),
+           flat.agg(F.count(F.lit(1)).alias("n_rows"))]
+    return one[0].join(one[1], F.lit(True)).join(one[2], F.lit(True))
 
 
 def landed_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,6 +320,20 @@ def stream_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
+def catalog_tables_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK2, SRC4, SNK3, JOB3 over catalog tables: stream to a table, then
+    the daily summary from it into another."""
+    base = shared_dir(spark, "catalog")
+    name = "changefeed_" + base.rsplit("-", 1)[1]
+    write_records(jobs.ingest(_lines(spark, sf_dir)), path=f"{base}/records")
+    for q in jobs.stream_changes(spark, f"{base}/_ckpt", source_path=f"{base}/records",
+                                 table=f"{name}_changes", trigger="available_now", time_zone=TZ,
+                                 max_bytes_per_trigger=batch_bytes(spark)):
+        run_bounded(q)
+    jobs.domain_edit_counts(spark, src_table=f"{name}_changes", dst_table=f"{name}_summary")
+    return spark.read.table(f"{name}_summary")
+
+
 def json_events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC3 batch form: well-formed payloads landed as JSON Lines, scanned
     with the fixed schema and flattened."""
@@ -311,9 +349,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_valid": ingest_valid,
     "ingest_allowlist": ingest_allowlist,
     "ingest_keyed": ingest_keyed,
+    "ingest_records": ingest_records,
     "ingest_rejects": ingest_rejects,
     "changes_flat": changes_flat,
     "domain_edit_counts": domain_edit_counts,
+    "summary_order": summary_order,
+    "catalog_tables_summary": catalog_tables_summary,
     "page_domain_counts": page_domain_counts,
     "source_domain_counts": source_domain_counts,
     "summary_overwrite_twice": summary_overwrite_twice,

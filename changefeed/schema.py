@@ -14,6 +14,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+# Names, types and order are the input contract.
 # Change event as it arrives (all fields nullable).  ``namespace`` is parsed
 # but not carried into the flat row.
 EVENT_SCHEMA = StructType(
@@ -35,7 +36,7 @@ EVENT_SCHEMA = StructType(
     ]
 )
 
-# Flat change row, in output order.
+# The flat change row, in output order.
 FLAT_SCHEMA = StructType(
     [
         StructField("event_id", LongType()),
@@ -53,6 +54,9 @@ FLAT_SCHEMA = StructType(
 )
 FLAT_COLUMNS = [f.name for f in FLAT_SCHEMA.fields]
 
+# The part of an event that a per-domain summary reads.
+DOMAIN_SCHEMA = StructType([StructField("meta", StructType([StructField("domain", StringType())]))])
+
 # Per-domain summary row.
 SUMMARY_SCHEMA = StructType(
     [StructField("domain", StringType()), StructField("edit_count", LongType(), False)]

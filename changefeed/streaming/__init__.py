@@ -7,7 +7,7 @@ from changefeed.streaming.metrics import (
     preview,
     preview_stream,
 )
-from changefeed.streaming.triggers import apply_trigger, batch_bytes, drain, run_bounded
+from changefeed.streaming.triggers import apply_trigger, batch_bytes, drain, run_all, run_bounded
 
 __all__ = [
     "BatchRowsListener",
@@ -18,5 +18,6 @@ __all__ = [
     "observe_rows",
     "preview",
     "preview_stream",
+    "run_all",
     "run_bounded",
 ]

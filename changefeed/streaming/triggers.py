@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 AVAILABLE_NOW = "available_now"
@@ -35,6 +37,25 @@ def run_bounded(query: StreamingQuery, seconds: float | None = None) -> Streamin
     return query
 
 
+def run_all(queries: list[StreamingQuery], seconds: float | None = None) -> None:
+    """Wait for all queries to end, at most ``seconds`` together, then stop
+    those that still run.  When one fails the others are stopped and its
+    error is raised."""
+    deadline = None if seconds is None else time.monotonic() + seconds
+    try:
+        while active := [q for q in queries if q.isActive]:
+            left = 1.0 if deadline is None else min(1.0, deadline - time.monotonic())
+            if left <= 0 or any(q.exception() is not None for q in queries):
+                break
+            active[0].awaitTermination(left)  # raises the query's own error
+    finally:
+        for q in queries:
+            q.stop()
+    for q in queries:
+        if q.exception() is not None:
+            raise q.exception()
+
+
 def drain(query: StreamingQuery) -> StreamingQuery:
     """Let a running query process everything that is available, then stop
     it (a fixed-interval query caught up, e.g. before maintenance)."""

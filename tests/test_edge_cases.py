@@ -28,9 +28,23 @@ INGEST_CASES = [
     ('{"v":NaN}', True, "default_domain", None),
     ('{"id":8} trailing', False, None, "invalid_json"),
     ('{"id":8}  ', True, "default_domain", None),
-    # documented divergences from a strict reader
-    ("{}{}", True, "default_domain", None),
-    ('{"meta":{"domain":5}}', True, "5", None),
+    ("{}{}", False, None, "invalid_json"),
+    ("{},{}", False, None, "invalid_json"),
+    ("{}],[{}", False, None, "invalid_json"),
+    ("[1] trailing", False, None, "invalid_json"),
+    ('{"v":+INF}', False, None, "invalid_json"),
+    ('{"v":+Infinity}', False, None, "invalid_json"),
+    ('{"v":-Infinity,"t":"\\"+INF"}', True, "default_domain", None),
+    ('{"meta":"{\\"domain\\":\\"x\\"}"}', False, None, "meta_not_object"),
+    ('{"m\\u0065ta" : "{}"}', False, None, "meta_not_object"),
+    ('{"meta":{"domain":"a"},"t":"\\"meta\\":\\"x"}', True, "a", None),
+    ('{"meta":{"domain":5}}', False, None, "domain_not_string"),
+    ('{"meta":{"domain":"5"}}', True, "5", None),
+    ('{"meta":{"domain":{"a":1}}}', False, None, "domain_not_string"),
+    ('{"meta":{"domain":true}}', False, None, "domain_not_string"),
+    ('{"meta":{"domain":"true"}}', True, "true", None),
+    ('{"meta":{"domain":"a"},"meta":{"domain":"b"}}', True, "b", None),
+    ('{"x":{"b":1,"b":2}}', True, "default_domain", None),
 ]
 
 
@@ -165,6 +179,28 @@ def test_explicit_zone_never_fails_on_huge_times(spark):
     assert [got[i] for i in (4, 5, 6, 7)] == [None] * 4
 
 
+def test_huge_times_are_null_in_either_zone(spark):
+    df = spark.createDataFrame([(f'{{"timestamp":{v}}}',) for v in (10**13, 10**15, 2**63 - 1)], "payload string")
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert [r["event_timestamp"] for r in ops.flatten(ops.parse(df), "UTC").collect()] == [None] * 3
+
+
+def test_quarantine_and_keep_agree(spark):
+    payloads = ["{'id':1}", '{"id":2} x', "{}", "[1]", "5", "", "garbage", '{"id":"a"}', "{}{}"]
+    df = spark.createDataFrame([(p,) for p in payloads], "payload string")
+    nulls = {p for p in payloads
+             if all(v is None for v in ops.parse(df.where(F.col("payload") == p)).first())} - {"{}", "{}{}", '{"id":"a"}'}
+    assert {r["payload"] for r in ops.malformed(df).collect()} == nulls
+    assert {r["payload"] for r in ops.well_formed(df).collect()} == set(payloads) - nulls
+
+
+def test_narrow_parse_has_the_same_domains(spark):
+    payloads = ['{"meta":{"domain":"a"},"id":"x"}', '{"meta":5}', "bad", '{"meta":{"domain":"b"},"id":1', "[1]", "{}"]
+    df = spark.createDataFrame([(p,) for p in payloads], "payload string")
+    key = lambda r: r["domain"] or ""
+    assert sorted(map(key, ops.domains(df).collect())) == sorted(map(key, ops.flatten(ops.parse(df)).collect()))
+
+
 def test_long_strings_read_whole_and_deep_nesting_refused(lines_df):
     big = '{"meta":{"domain":"a.example.org"},"comment":"' + "x" * 21_000_000 + '"}'
     deep = '{"x":' + "[" * 5000 + "]" * 5000 + "}"
