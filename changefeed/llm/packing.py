@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 MAX_LEN = 4096
 #: Distinct words a worker keeps with their ids at most, in each of two tables.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 
 _ASCII_WORDS = re.compile(r"[^ \t-\r]+")
 #: White space to Python's split() but perhaps not to the tokenizer.
@@ -108,7 +108,12 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
-        self.words, self.units = _Recent(cache_words), _Recent(cache_words)
+        self.cache_words = cache_words
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the tables: a worker waits for its next task without them."""
+        self.words, self.units = _Recent(self.cache_words), _Recent(self.cache_words)
 
     def _encode_units(self, units: list[str]) -> None:
         # The digit 0 is always one unit with one id, which nothing else
@@ -219,6 +224,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, max_len: int = M
                     out.append(pa.array(ids, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(out, names=names)
+        encoder.forget()
 
     pieces = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
     return (pieces.withColumn("bucket", F.col("length"))
