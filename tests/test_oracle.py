@@ -9,11 +9,11 @@ from compare import compare
 from conftest import SF_CHECK, SF_SMOKE
 
 from changefeed import FLAT_SCHEMA
+from changefeed.streaming import preview
 
 
-def test_every_query_is_registered_with_an_oracle_or_is_a_sample():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"preview_rows"}
+def test_every_query_is_registered_with_an_oracle():
+    assert set(ORACLE) == set(QUERIES)
     assert len(QUERIES) >= 24
 
 
@@ -24,7 +24,7 @@ def test_query_matches_oracle(spark, duck_check, name):
 
 
 def test_preview_is_bounded_flat_rows(spark):
-    df = QUERIES["preview_rows"](spark, SF_CHECK)
+    df = preview(QUERIES["changes_flat"](spark, SF_CHECK), 5)
     assert df.schema == FLAT_SCHEMA
     assert 0 < len(df.collect()) <= 5
 
