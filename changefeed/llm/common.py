@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from changefeed.session import shared_dir
 #: A word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
+#: Rows that Spark and a Python worker hand each other at once.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +31,7 @@ def words_of(text) -> "F.Column":
     return F.filter(F.split(text, SPACE), lambda w: w != F.lit(""))
 
 
-def small(batches, rows: int = 1000):
+def small(batches, rows: int = BATCH_ROWS):
     """The Arrow batches cut to at most ``rows`` rows, which bounds what a
     worker unpacks at once."""
     for batch in batches:
@@ -34,6 +39,19 @@ def small(batches, rows: int = 1000):
             yield batch.slice(lo, rows)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Inside, the session's queries hand Python ``rows`` rows at once at
+    most: a batch of whole texts is held by the executor and by its worker."""
+    before = spark.conf.get(_BATCH)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(_BATCH, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back.
 
@@ -42,5 +60,6 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, f"llm-{name}")
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -21,6 +21,8 @@ START, END = 0xFE, 0xFF
 SLICE = 1 << 18
 #: Grams a task gathers before it adds up equal ones.
 GATHERED = 1 << 21
+#: Rows of counts handed back at once.
+OUT_ROWS = 50_000
 
 
 def mask(order: int) -> np.uint64:
@@ -124,28 +126,35 @@ def counted(df: DataFrame, order: int, group: str | None = None, text: str = "by
     ``text`` is a binary column.  Each task adds up what it has read before
     anything is shuffled."""
     cols = ([group] if group else []) + [text]
+    names = ([group] if group else []) + ["gram", "n"]
     schema = (f"{group} string, " if group else "") + "gram long, n long"
 
+    def added(held):
+        return {g: [summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))]
+                for g, parts in held.items()}
+
+    def out(held):
+        for g, [(k, n)] in added(held).items():
+            for lo in range(0, len(k), OUT_ROWS):
+                part = [pa.array(x[lo:lo + OUT_ROWS].astype(np.int64)) for x in (k, n)]
+                if group:
+                    part.insert(0, pa.repeat(pa.scalar(g, pa.string()), len(part[0])))
+                yield pa.RecordBatch.from_arrays(part, names=names)
+
     def run(batches):
+        held: dict[str | None, list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in batches:
             raws = [x or b"" for x in batch.column(len(cols) - 1).to_pylist()]
-            names = batch.column(0).to_pylist() if group else [None] * len(raws)
-            for name in dict.fromkeys(names):
-                got, ns = [], []
-                for keys, _ in slices([r for r, g in zip(raws, names) if g == name], order):
-                    k, n = np.unique(keys, return_counts=True)
-                    got.append(k)
-                    ns.append(n)
-                    if sum(map(len, got)) > GATHERED:
-                        k, n = summed(np.concatenate(got), np.concatenate(ns))
-                        got, ns = [k], [n]
-                if not got:
-                    continue
-                k, n = summed(np.concatenate(got), np.concatenate(ns))
-                out = [pa.array(k.astype(np.int64)), pa.array(n.astype(np.int64))]
-                if group:
-                    out.insert(0, pa.array([name] * len(k), pa.string()))
-                yield pa.RecordBatch.from_arrays(out, names=([group] if group else []) + ["gram", "n"])
+            groups = batch.column(0).to_pylist() if group else [None] * len(raws)
+            for g in dict.fromkeys(groups):
+                for keys, _ in slices([r for r, own in zip(raws, groups) if own == g], order):
+                    held.setdefault(g, []).append(np.unique(keys, return_counts=True))
+            if sum(len(k) for parts in held.values() for k, _ in parts) > GATHERED:
+                held = added(held)
+                if sum(len(k) for parts in held.values() for k, _ in parts) > GATHERED // 2:
+                    yield from out(held)
+                    held = {}
+        yield from out(held)
 
     keys = ([group] if group else []) + ["gram"]
     return df.select(*cols).mapInArrow(run, schema).groupBy(*keys).agg(F.sum("n").alias("n"))

@@ -44,6 +44,8 @@ MIN_PAGES = 10
 MIN_SHARE = 0.8
 #: Template tokens broadcast at most (about 16 bytes each); more are joined.
 BROADCAST_TOKENS = 500_000
+#: Counts a task gathers before it hands them on.
+HELD_TOKENS = 100_000
 
 # Names of HTML elements and usual names of page parts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -193,9 +195,16 @@ def occurrences(pages: DataFrame) -> DataFrame:
     sum of first places, whether it is a text; token 0 is on every page."""
     schema = ("host string, token long, is_text boolean, pages long, occurs long, v1 long, v2 long, places long")
 
+    def out(table):
+        cols = list(zip(*((h, t, *row) for (h, t), row in table.items()))) or [()] * 8
+        types = [pa.string(), pa.int64(), pa.bool_(), *[pa.int64()] * 5]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(cols, types)],
+            names=["host", "token", "is_text", "pages", "occurs", "v1", "v2", "places"])
+
     def run(batches):
+        table: dict[tuple[str, int], list] = {}
         for batch in batches:
-            table: dict[tuple[str, int], list] = {}
             hosts, raws = batch.column(0).to_pylist(), batch.column(1)
             for host, raw, mark in zip(hosts, raws, batch.column(2).to_pylist()):
                 found = page_tokens(raw.as_py() or "")
@@ -208,12 +217,10 @@ def occurrences(pages: DataFrame) -> DataFrame:
                     row[3] += d & 0xFFFFFFFF
                     row[4] += d >> 32
                     row[5] += place
-            if table:
-                cols = list(zip(*((h, t, *row) for (h, t), row in table.items())))
-                types = [pa.string(), pa.int64(), pa.bool_(), *[pa.int64()] * 5]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, types)],
-                    names=["host", "token", "is_text", "pages", "occurs", "v1", "v2", "places"])
+            if len(table) > HELD_TOKENS:
+                yield out(table)
+                table.clear()
+        yield out(table)
 
     sums = [F.sum(c).alias(c) for c in ("pages", "occurs", "v1", "v2", "places")]
     return (pages.select("host", "html", "mark").mapInArrow(run, schema)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefeed.llm import bagminhash, bpe, fingerprints, fixity, htmltext, kneser, packing, rules, scoring, urlrules
-from changefeed.llm.common import table, text_or_empty
+from changefeed.llm.common import saved, table
 from changefeed.operators import once
 
 
@@ -71,8 +71,8 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(docs, path, pattern).drop("text")
     both = bpe.decode(ids, path, pattern)
     joined = F.concat_ws(",", F.col("token_ids").cast("array<string>"))
-    return both.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
-                       F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return saved(both.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+                             F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")), "op6")
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +101,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their sequences."""
     pieces = packing.pack(table(spark, sf_dir, "documents"),
                           public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
-    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return saved(pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"), "op10")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -55,16 +55,18 @@ def _joined(text: str = "text"):
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """word, c over a ``text`` column, each task's counts added up first."""
+    def out(seen):
+        return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "c"])
+
     def run(batches):
+        seen: Counter[str] = Counter()
         for batch in batches:
-            seen: Counter[str] = Counter()
             for t in batch.column(0):
                 seen.update(words(t.as_py()))
                 if len(seen) > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "c"])
+                    yield out(seen)
                     seen.clear()
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "c"])
+        yield out(seen)
 
     return texts.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
