@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences.
 
 Four stages, each written as Parquet in the shared folder and read back as
-the next one's documents: the quality classifier, the quality rules,
+the next one's documents (the last writes its pieces itself): the quality classifier, the quality rules,
 near-duplicate removal and packing.  All but the last return the columns of
 ``documents``.
 """
@@ -34,7 +34,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document with their ids."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return saved(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")), "packed")
 
 
 STAGES = [
@@ -51,6 +51,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole documents table."""
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
+    for i, (_, stage) in enumerate(STAGES[:-1]):
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{i}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
