@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from changefeed.llm import bagminhash, bpe, fingerprints, fixity, htmltext, kneser, packing, rules, scoring, urlrules
 from changefeed.llm.common import saved, table
+from changefeed.llm.oracle import ORACLE_SQL  # noqa: F401
 from changefeed.operators import once
 
 
@@ -116,5 +117,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scores": op9_lm_scores,
     "op10_packing": op10_packing,
 }
-
-ORACLE_SQL: dict[str, str] = {}
