@@ -6,15 +6,23 @@ ranges of ``fanout`` neighbours, level by level, to one root per file; a node
 covers one range of offsets.  ``audit`` compares the roots of two replicas
 and goes down only into branches whose hashes differ, to the damaged records.
 
+A leaf's place is taken from its id alone, never from its neighbours, so a
+record missing or added in mid-file moves no other.  Records of one place
+are told apart by their hash: equal ones cancel out between the replicas, and
+what is left of each is paired in order.
+
 Records are hashed where they are read; what moves is a hash, a length and an
-id per record.  A file has a bounded number of records by construction, trees
-are saved to the shared folder, and the audit's joins read one level at a
-time with the (few) open branches.
+id per record, exact copies added up first.  A file has a bounded number of
+places by construction (rows without an id are dealt to the places of
+``NULL_PARTS`` parts by their url), trees are saved to the shared folder, and
+the audit's joins read one level at a time with the (few) open branches.
 
 Defined results: null html is an empty payload and a null url an empty
-target; rows with null ids share one file, in order of their hash; repeated rows are records of their own, in order of their hash; a
-record that one replica lacks is ``missing`` (or ``extra``); equal replicas
-give no rows, as do empty tables; extra columns are ignored.
+target; rows with null ids share one file and are paired by their url;
+repeated rows are records of their own, in order of their hash; a record that
+one replica lacks is ``missing`` (or ``extra``); ``idx`` is the place in the
+file, shared by records of one id; equal replicas give no rows, as do empty
+tables; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +34,8 @@ from changefeed.llm.common import saved
 
 PER_FILE = 2000
 FANOUT = 16
+#: Parts of the file of rows without an id.
+NULL_PARTS = 4096
 
 
 def record_text(page_id: Column, url: Column, html: Column) -> Column:
@@ -39,8 +49,16 @@ def record_text(page_id: Column, url: Column, html: Column) -> Column:
 
 
 def records(pages: DataFrame, per_file: int = PER_FILE) -> DataFrame:
-    """file, page_id, record (text) of every page."""
-    return pages.select(F.expr(f"page_id div {per_file}").cast("long").alias("file"), "page_id",
+    """file, part, idx (place in the file's part), target (tells rows without
+    an id apart), page_id and record (text) of every page."""
+    none = F.col("page_id").isNull()
+    target = F.when(none, F.xxhash64(F.coalesce(F.col("url").cast("string"), F.lit(""))))
+    dealt = F.pmod(target, F.lit(per_file * NULL_PARTS))
+    file = F.expr(f"page_id div {per_file}").cast("long")
+    return pages.select(file.alias("file"),
+                        F.when(none, F.floor(dealt / per_file)).otherwise(0).cast("long").alias("part"),
+                        F.when(none, dealt % per_file).otherwise(F.col("page_id") - file * per_file).cast("long").alias("idx"),
+                        target.alias("target"), "page_id",
                         record_text(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
 
 
@@ -52,33 +70,69 @@ def write_warc(recs: DataFrame, path: str) -> None:
      .select("file", body.alias("record")).write.partitionBy("file").option("lineSep", end).text(path))
 
 
+#: What tells a place from all others.
+_PLACE = ("file", "part", "idx", "target")
+
+
 def leaves(recs: DataFrame) -> DataFrame:
-    """file, idx (place in the file), start (offset), length, hash, page_id."""
-    hashed = recs.select("file", "page_id", F.octet_length("record").cast("long").alias("length"),
+    """file, part, idx, target, start (offset in the part of the file), length,
+    hash, copies (equal records) and page_id."""
+    hashed = recs.select(*_PLACE, "page_id", F.octet_length("record").cast("long").alias("length"),
                          F.unhex(F.sha2(F.col("record").cast("binary"), 256)).alias("hash"))
-    order = Window.partitionBy("file").orderBy("page_id", "hash")
+    each = hashed.groupBy(*_PLACE, "page_id", "length", "hash").agg(F.count(F.lit(1)).alias("copies"))
+    order = Window.partitionBy("file", "part").orderBy("idx", "target", "hash")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return hashed.select("file", (F.row_number().over(order) - 1).cast("long").alias("idx"),
-                         F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("start"),
-                         "length", "hash", "page_id")
+    size = F.sum(F.col("length") * F.col("copies")).over(before)
+    return each.select(*_PLACE, F.coalesce(size, F.lit(0)).cast("long").alias("start"),
+                       "length", "hash", "copies", "page_id")
 
 
 def tree(recs: DataFrame, fanout: int = FANOUT, name: str = "tree") -> list[DataFrame]:
-    """Saved levels from the leaves to the roots (one row per file)."""
+    """Saved levels from the leaves to the roots (one row per file's part)."""
     levels = [saved(leaves(recs), f"{name}-0")]
-    most = levels[0].agg(F.max("idx")).first()[0]
+    most = levels[0].agg(F.max(F.abs("idx"))).first()[0]
     width = (most if most is not None else 0) + 1
     while width > 1:
-        kids = F.array_sort(F.collect_list(F.struct("idx", "hash")))
-        joined = F.concat_ws("", F.transform(F.col("kids"), lambda c: F.hex(c["hash"])))
-        up = (levels[-1].groupBy("file", F.expr(f"idx div {fanout}").alias("up"))
-              .agg(kids.alias("kids"), F.min("start").alias("start"), F.sum("length").cast("long").alias("length"))
-              .select("file", F.col("up").alias("idx"), "start", "length", F.unhex(F.sha2(joined.cast("binary"), 256)).alias("hash")))
+        below = levels[-1]
+        first = len(levels) == 1
+        size = F.col("length") * F.col("copies") if first else F.col("length")
+        kid = ["idx", *(["target", "hash", "copies"] if first else ["hash"])]
+        kids = F.array_sort(F.collect_list(F.struct(*(F.coalesce(c, F.lit(0)).alias(c) if c == "target" else c for c in kid))))
+        text = lambda c: F.concat_ws(":", *(F.hex(c[k]) if k == "hash" else c[k].cast("string") for k in kid))
+        joined = F.concat_ws(",", F.transform(F.col("kids"), text))
+        up = (below.groupBy("file", "part", F.expr(f"idx div {fanout}").alias("up"))
+              .agg(kids.alias("kids"), F.min("start").alias("start"), F.sum(size).cast("long").alias("length"))
+              .select("file", "part", F.col("up").alias("idx"), "start", "length",
+                      F.unhex(F.sha2(joined.cast("binary"), 256)).alias("hash")))
         levels.append(saved(up, f"{name}-{len(levels)}"))
         width = -(-width // fanout)
     return levels
 
 
+def _same(*columns: str):
+    on = F.lit(True)
+    for c in columns:
+        on = on & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    return on
+
+
+def _either(*columns: str) -> list[Column]:
+    return [F.when(F.col("l.hash").isNull(), F.col(f"r.{c}")).otherwise(F.col(f"l.{c}")).alias(c) for c in columns]
+
+
+def _surplus(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """The records of one replica that the other does not hold, one row each
+    and numbered (nth) within their place."""
+    other = theirs.select(*_PLACE, "hash", F.col("copies").alias("matched"))
+    left = mine.alias("l").join(other.alias("r"), _same(*_PLACE, "hash"), "left")
+    held = F.coalesce("r.matched", F.lit(0))
+    more = left.where(F.col("l.copies") > held).select(
+        *(F.col(f"l.{c}") for c in (*_PLACE, "page_id", "length", "hash", "start")),
+        F.explode(F.sequence(held, F.col("l.copies") - 1)).alias("copy"))
+    nth = F.row_number().over(Window.partitionBy(*_PLACE).orderBy("hash", "copy"))
+    return more.withColumns({"start": F.col("start") + F.col("copy") * F.col("length"), "nth": nth}).drop("copy")
+
+
 def audit(good: list[DataFrame], other: list[DataFrame], fanout: int = FANOUT) -> DataFrame:
     """Damaged records: file, idx, start, length, page_id, status (damaged,
     missing or extra), expected and found (hex hashes).
@@ -88,18 +142,15 @@ def audit(good: list[DataFrame], other: list[DataFrame], fanout: int = FANOUT) -
     for n in range(min(len(good), len(other)) - 1, -1, -1):
         a, b = good[n], other[n]
         if open_ is not None:
-            inside = [F.col("file").eqNullSafe(F.col("o_file")), F.expr(f"idx div {fanout}") == F.col("o_idx")]
+            inside = (F.col("file").eqNullSafe(F.col("o_file")) & (F.col("part") == F.col("o_part"))
+                      & (F.expr(f"idx div {fanout}") == F.col("o_idx")))
             a, b = (x.join(open_, inside, "left_semi") for x in (a, b))
-        extra = ["page_id"] if n == 0 else []
-        l = a.select("file", "idx", "start", "length", "hash", *extra).alias("l")
-        r = b.select("file", "idx", "start", "length", "hash", *extra).alias("r")
-        on = F.col("l.file").eqNullSafe(F.col("r.file")) & (F.col("l.idx") == F.col("r.idx"))
-        differ = l.join(r, on, "full_outer").where(~F.col("l.hash").eqNullSafe(F.col("r.hash")))
-        pick = lambda c: F.when(F.col("l.idx").isNull(), F.col(f"r.{c}")).otherwise(F.col(f"l.{c}")).alias(c)
-        found = differ.select(*[pick(c) for c in ("file", "idx", "start", "length", *extra)],
-                              F.hex("l.hash").alias("expected"), F.hex("r.hash").alias("found"))
         if n:
-            open_ = saved(found.select(F.col("file").alias("o_file"), F.col("idx").alias("o_idx")), f"open-{n}")
-    status = F.when(F.col("found").isNull(), "missing").when(F.col("expected").isNull(), "extra").otherwise("damaged")
-    return found.select("file", "idx", "start", "length", "page_id", status.alias("status"),
-                        F.lower("expected").alias("expected"), F.lower("found").alias("found"))
+            differ = a.alias("l").join(b.alias("r"), _same("file", "part", "idx"), "full_outer")
+            differ = differ.where(~F.col("l.hash").eqNullSafe(F.col("r.hash"))).select(*_either("file", "part", "idx"))
+            open_ = saved(differ.select(*(F.col(c).alias(f"o_{c}") for c in ("file", "part", "idx"))), f"open-{n}")
+    l, r = _surplus(a, b).alias("l"), _surplus(b, a).alias("r")
+    found = l.join(r, _same(*_PLACE, "nth"), "full_outer")
+    status = F.when(F.col("r.hash").isNull(), "missing").when(F.col("l.hash").isNull(), "extra").otherwise("damaged")
+    return found.select(*_either("file", "idx", "start", "length", "page_id"), status.alias("status"),
+                        F.lower(F.hex("l.hash")).alias("expected"), F.lower(F.hex("r.hash")).alias("found"))

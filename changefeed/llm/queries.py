@@ -83,12 +83,15 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The damaged records of a replica of the pages' archive: in it, every
-    97th page has one byte changed and every 13th file is cut short."""
+    97th page has one byte changed, every 211th is lost, every 389th stands
+    twice and every 13th file is cut short."""
     pages = table(spark, sf_dir, "pages")
     good = fixity.records(pages)
     bad_byte = F.expr("overlay(record PLACING '~' FROM 6 FOR 1)")
     other = good.withColumn("record", F.when(F.expr("page_id % 97 = 13"), bad_byte).otherwise(F.col("record")))
     other = other.where(~F.coalesce(F.expr(f"file % 13 = 5 AND page_id % {fixity.PER_FILE} >= 1900"), F.lit(False)))
+    times = F.expr("CASE WHEN page_id % 211 = 57 THEN 0 WHEN page_id % 389 = 101 THEN 2 ELSE 1 END")
+    other = other.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times))).drop("__copy")
     found = fixity.audit(fixity.tree(good, name="primary"), fixity.tree(other, name="replica"))
     return found.select("page_id", "file", "idx", F.col("start").alias("offset"), "length", "status", "expected", "found")
 

@@ -228,3 +228,18 @@ def test_audit_finds_what_differs(spark):
     assert bytes(first["hash"]) == hashlib.sha256(text.encode()).digest() and first["length"] == len(text.encode())
     assert fixity.audit(trees[0], trees[0]).count() == 0
     assert fixity.audit(fixity.tree(good.limit(0)), fixity.tree(good.limit(0))).count() == 0
+
+
+def test_audit_finds_records_lost_and_added_in_mid_file(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"http://h/{i}", f"<p>{i}</p>") for i in range(700)] + [(20, "u", "a"), (20, "u", "b"), (20, "u", "b")]
+    rows += [(None, f"n{i}", f"<p>{i}</p>") for i in range(50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    added = spark.createDataFrame([(333, "http://h/333", "<p>new</p>"), (20, "u", "b")], pages.schema)
+    worse = pages.withColumn("html", F.when(F.expr("page_id = 20 AND html = 'a' OR url IN ('n7', 'http://h/400')"), "?").otherwise(F.col("html")))
+    worse = worse.where("NOT (page_id <=> 5 OR page_id <=> 310 OR url = 'n9')").unionByName(added)
+    good, bad = (fixity.tree(fixity.records(x, per_file=300)) for x in (pages, worse))
+    got = Counter((r["page_id"], r["status"]) for r in fixity.audit(good, bad).collect())
+    assert got == Counter([(5, "missing"), (310, "missing"), (333, "extra"), (20, "damaged"), (20, "extra"), (400, "damaged"),
+                           (None, "damaged"), (None, "missing")])
