@@ -353,7 +353,8 @@ def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` without all but one of each class: the smallest
     doc_id stays (nulls last, then the first row)."""
     columns = docs.columns
-    numbered = docs.withColumn("__uid", F.monotonically_increasing_id())
+    # Written once: numbered anew, a lost executor could give rows other ids.
+    numbered = saved(docs.withColumn("__uid", F.monotonically_increasing_id()), "numbered")
     light = numbered.select("__uid", "doc_id", F.unhex(F.md5(text_or_empty())).alias("key"))
     texts, classes = near_classes(docs, least)
     comp = texts.join(classes, "tid", "left").select("key", F.coalesce("comp", "tid").alias("comp"))

@@ -112,7 +112,8 @@ def _words_per_doc(rows: DataFrame, common) -> DataFrame:
 def score(docs: DataFrame, order: int = ppm.ORDER, common_words: int = COMMON_WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    rows = _prepared(docs)
+    # Written once: numbered anew, a lost executor could give rows other ids.
+    rows = saved(_prepared(docs), "prepared")
     learnt = rows.where(~F.col("held_out"))
     counts = saved(word_counts(learnt), "words")
     ends = learnt.select("uid").count()

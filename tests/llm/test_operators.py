@@ -243,3 +243,22 @@ def test_audit_finds_records_lost_and_added_in_mid_file(spark):
     got = Counter((r["page_id"], r["status"]) for r in fixity.audit(good, bad).collect())
     assert got == Counter([(5, "missing"), (310, "missing"), (333, "extra"), (20, "damaged"), (20, "extra"), (400, "damaged"),
                            (None, "damaged"), (None, "missing")])
+
+
+def test_row_ids_are_numbered_once(spark, docs, monkeypatch):
+    def plans(module):
+        seen, keep = [], module.saved
+
+        def note(df, name):
+            seen.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+            return keep(df, name)
+
+        monkeypatch.setattr(module, "saved", note)
+        return seen
+
+    for module, run, name in ((bagminhash, bagminhash.one_of_each, "numbered"), (scoring, scoring.score, "prepared")):
+        seen = plans(module)
+        out = run(docs)
+        seen.append(("result", out._jdf.queryExecution().optimizedPlan().toString()))
+        assert [n for n, plan in seen if "monotonically_increasing_id" in plan and n != "texts"] == [name]
+        assert out.count() == (len(TEXTS) if module is scoring else len({t or "" for _, t in TEXTS}))
