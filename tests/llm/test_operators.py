@@ -262,3 +262,25 @@ def test_row_ids_are_numbered_once(spark, docs, monkeypatch):
         seen.append(("result", out._jdf.queryExecution().optimizedPlan().toString()))
         assert [n for n, plan in seen if "monotonically_increasing_id" in plan and n != "texts"] == [name]
         assert out.count() == (len(TEXTS) if module is scoring else len({t or "" for _, t in TEXTS}))
+
+
+def test_rare_language_keeps_its_model_and_any_its_own_level(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"the cat sat on mat {i % 7} and the dog ran " * 3, "en") for i in range(1500)]
+    rows += [(2000 + i, f"der hund lief {i % 5} um das haus herum " * 3, "de") for i in range(60)]
+    rows += [(3000 + i, f"zq xw {i % 3} vj kq " * 3, f"l{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trusted = docs.select("doc_id")
+    known, shards = kneser.train(docs, trusted, max_trusted=200)
+    assert known == {"", "en", "de"}
+    scored = kneser.score(docs, known, shards).cache()
+    level = kneser.judge(scored, trusted).where(F.col("kn_model") == "").select("threshold").distinct().collect()
+    held = scored.where((kneser._part("doc_id", "fit", 4) == 0)).collect()
+    any_model = next(m for make in shards for g, m in make().items() if g == "")
+    texts = {i: t.encode() for i, t, _ in rows}
+    want = [(r["kn_symbols"], any_model.scores([texts[r["doc_id"]]])[0]) for r in held]
+    assert np.allclose([r["kn_any_log10p"] for r in held], [lp for _, lp in want])
+    mean = sum(lp for _, lp in want) / sum(n for n, _ in want)
+    drawn = sorted(10 ** (-(lp + kneser.PRIOR * mean) / (n + kneser.PRIOR)) for n, lp in want)
+    assert abs(level[0][0] / (kneser.SLACK * drawn[math.ceil(kneser.QUANTILE * len(drawn)) - 1]) - 1) < 1e-6
