@@ -5,10 +5,12 @@ each text block with its path.  Tokens of one host that occur equally often
 on the same pages have equal occurrence vectors and form a class.  A class
 that most of the host's pages hold, whose tokens keep their order and which
 lies wholly inside or outside every other class, belongs to the host's
-template.  The template's own texts (repeated notices, credits) are dropped;
-the slots between its tags hold what varies, and the article is what is left
-of them outside menus, headers, footers, side bars, notices, adverts, forms,
-scripts and reader comments.
+template.  The template's own texts (repeated notices, credits) are dropped
+where they stand outside the article.  Which parts of a page are not the
+article is decided by fixed lists: menus, headers, footers, side bars, notices,
+adverts, forms, scripts and reader comments, by element name, role, class or
+id.  The template's tags, their order and their nesting are deduced but do
+not choose the article.
 
 Scale: an occurrence vector is kept as two sums of page hashes, so vectors of
 a host with a third of all pages are added up map-side and never gathered.
@@ -20,7 +22,9 @@ below a bound, and joined by host otherwise.
 Defined results: null or empty html gives an empty text; a host with fewer
 than ``MIN_PAGES`` pages has no deduced template and keeps the element rules
 alone; pages without a host share the empty host; repeated rows and null
-page_ids are returned each; unclosed, misnested or cut markup ends with the
+page_ids are returned each; copies of one page count as one page of the host;
+a text inside ``article`` or ``main``, or in the element that holds most of
+the page's other texts, is never dropped as the template's; unclosed, misnested or cut markup ends with the
 page; extra columns are ignored; an empty table gives no rows.
 """
 
@@ -92,13 +96,14 @@ def _is_part(name: str, attrs: str, inside_article: bool) -> bool:
     return False
 
 
-def scan(page: str) -> Iterator[tuple[str, str, bool, bool]]:
-    """(kind, path or text, in a page part, in an article) in page order; kind
-    is ``tag`` or ``text``; a text is a whole block, references decoded and
-    white space made single."""
-    stack: list[tuple[str, bool, bool, str]] = []  # name, part, article, path
+def scan(page: str) -> Iterator[tuple[str, str, bool, bool, str, tuple[int, ...]]]:
+    """(kind, path or text, in a page part, in an article, path around a text,
+    elements around a text's block but ``html`` and ``body``) in page order;
+    kind is ``tag`` or ``text``; a text is a whole block, references decoded
+    and white space made single."""
+    stack: list[tuple[str, bool, bool, str, int]] = []  # name, part, article, path, serial
     buffer: list[str] = []
-    at = 0
+    at = serial = 0
 
     def block():
         if buffer:
@@ -106,7 +111,9 @@ def scan(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             buffer.clear()
             if text:
                 top = stack[-1] if stack else ("", False, False, "")
-                return ("text", text, top[1], top[2])
+                own = max((i for i, e in enumerate(stack) if e[0] in BLOCK), default=0)
+                around = tuple(e[4] for e in stack[:own] if e[0] not in ("html", "body"))
+                return ("text", text, top[1], top[2], top[3], around)
         return None
 
     def text_of(raw: str) -> str:
@@ -149,9 +156,10 @@ def scan(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         inside = top[2] or name in ("article", "main")
         part = top[1] or _is_part(name, attrs, top[2])
         path = f"{top[3]}/{name}"
-        yield ("tag", path, part, inside)
+        yield ("tag", path, part, inside, path, ())
+        serial += 1
         if name not in VOID and not attrs.endswith("/"):
-            stack.append((name, part, inside, path))
+            stack.append((name, part, inside, path, serial))
     if b := block():
         yield b
 
@@ -177,12 +185,16 @@ def _hash(kind: str, value: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}\x00{value}") >> 1
 
 
+def _text_hash(text: str, path: str) -> int:
+    return _hash("text", f"{path}\x00{text}")
+
+
 def page_tokens(page: str) -> dict[int, list]:
     """Token -> [occurrences, place of the first, is a text]; a text block
-    counts with its text, a tag with its path."""
+    counts with its text and path, a tag with its path."""
     out: dict[int, list] = {}
-    for place, (kind, value, _, _) in enumerate(scan(page)):
-        h = _hash(kind, value)
+    for place, (kind, value, _, _, path, _) in enumerate(scan(page)):
+        h = _text_hash(value, path) if kind == "text" else _hash(kind, value)
         if h in out:
             out[h][0] += 1
         else:
@@ -256,16 +268,35 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
 
 def article(page: str, template_texts: frozenset[int] = frozenset()) -> str:
     """The blocks of a page's article, one per line."""
-    inside, outside = [], []
+    blocks: list[tuple[str, bool, bool, tuple[int, ...]]] = []  # text, the template's, in an article, around
     has_article = False
-    for kind, value, part, in_article in scan(page):
+    for kind, value, part, in_article, path, around in scan(page):
         if kind == "tag":
             has_article = has_article or in_article and not part
-            continue
-        if part or template_texts and _hash("text", value) in template_texts:
-            continue
-        (inside if in_article else outside).append(value)
-    return "\n".join(inside if has_article else outside)
+        elif not part:
+            fixed = bool(template_texts) and not in_article and _text_hash(value, path) in template_texts
+            blocks.append((value, fixed, in_article, around))
+    if has_article:
+        return "\n".join(value for value, _, in_article, _ in blocks if in_article)
+    # The slot: the element right around the blocks with most of what varies.
+    sizes: dict[int, int] = {}
+    for value, fixed, _, around in blocks:
+        if not fixed and around:
+            sizes[around[-1]] = sizes.get(around[-1], 0) + len(value)
+    slot = max(sizes, key=sizes.get, default=None)
+    return "\n".join(value for value, fixed, _, around in blocks if not fixed or slot in around)
+
+
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """host, html and mark of each page content of a host, copies once.  Only
+    pages that have copies are moved, added up map-side."""
+    keyed = pages.select("host", "html", F.md5(F.coalesce("html", F.lit(""))).alias("mark"))
+    copied = saved(keyed.groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("host", "mark"), "copied")
+    if copied.count() * 4 <= BROADCAST_TOKENS:
+        copied = F.broadcast(copied)
+    once = keyed.join(copied, ["host", "mark"], "left_anti").select("host", "html", "mark")
+    first = keyed.join(copied, ["host", "mark"], "left_semi").groupBy("host", "mark").agg(F.first("html").alias("html"))
+    return once.unionByName(first)
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -273,8 +304,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     url = F.col("url").cast("string")
     rows = pages.select("page_id", url.alias("url"), F.col("html").cast("string").alias("html"),
                         F.coalesce(host_of(url), F.lit("")).alias("host"))
-    marked = rows.select("host", "html", F.xxhash64("page_id", "url", "html").cast("string").alias("mark"))
-    found = saved(templates(marked, min_pages, min_share), "templates")
+    found = saved(templates(distinct_pages(rows), min_pages, min_share), "templates")
     per_host = (found.select("host", F.explode("texts").alias("t")).groupBy("host")
                 .agg(F.collect_set("t").alias("template_texts")))
     size = found.agg(F.sum(F.size("texts")), F.count(F.lit(1))).first()

@@ -284,3 +284,16 @@ def test_rare_language_keeps_its_model_and_any_its_own_level(spark):
     mean = sum(lp for _, lp in want) / sum(n for n, _ in want)
     drawn = sorted(10 ** (-(lp + kneser.PRIOR * mean) / (n + kneser.PRIOR)) for n, lp in want)
     assert abs(level[0][0] / (kneser.SLACK * drawn[math.ceil(kneser.QUANTILE * len(drawn)) - 1]) - 1) < 1e-6
+
+
+def test_article_texts_that_every_page_holds_stay(spark):
+    copy = "<body><nav>menu</nav><div class=x><p>Terms</p></div><article><h1>Head</h1><p>First</p></article></body>"
+    named = "<body><div class=x><p>Terms</p></div><article><p>By A. Writer</p><p>Text {i}</p></article></body>"
+    plain = "<body><div class=x><p>Terms</p></div><section><div><p>By A. Writer</p></div><p>Text {i}</p></section></body>"
+    rows = [(i, "http://a.com/", copy) for i in range(20)] + [(100 + i, f"http://a2.com/{i}", copy.replace("article>", "section>")) for i in range(20)]
+    rows += [(200 + i, "http://b.com/", named.replace("{i}", str(i))) for i in range(20)]
+    rows += [(300 + i, "http://c.com/", plain.replace("{i}", f"{i} of the site")) for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(20):
+        assert got[i] == "Head\nFirst" and got[100 + i] == "Terms\nHead\nFirst"
+        assert got[200 + i] == f"By A. Writer\nText {i}" and got[300 + i] == f"By A. Writer\nText {i} of the site"
