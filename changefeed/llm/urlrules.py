@@ -10,8 +10,11 @@ the rules of its own tokens and then has the rest of their tokens checked.
 
 Explicit host and path rules go first; the longest that fits decides.
 
-Mining runs over all labelled rows.  The number of frequent itemsets is
-bounded by the support asked for, whatever the number of URLs.  A rule meets
+Mining runs over all labelled rows, and the support asked for is a number of
+bad rows, so that what a rule needs does not grow with the input.  Rules of
+one token are counted exactly; only tokens of enough bad rows that are not
+wholly bad go into FP-growth (a wider set with a wholly bad token is covered
+by that token), which keeps its itemsets few.  A rule meets
 the distinct URLs that have its rarest token; the result is joined back by
 URL, so repeated URLs are judged once.
 
@@ -24,6 +27,8 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +37,12 @@ from changefeed.llm.common import saved
 
 ALLOW, BLOCK = "allow", "block"
 LABEL = "label=bad"
-MIN_SUPPORT = 0.001
+#: Share of the rows asked for besides ``MIN_COUNT`` rows: none.
+MIN_SUPPORT = 0.0
 MIN_CONFIDENCE = 0.6
 MIN_COUNT = 5
+#: Tokens broadcast at most; more are joined.
+BROADCAST_TOKENS = 100_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -85,16 +93,37 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     items = labelled.where(F.col("url").isNotNull()).select(
         F.concat(tokens_of(F.col("url")), F.when(F.col("bad"), F.array(F.lit(LABEL)))
                  .otherwise(F.array().cast("array<string>"))).alias("items"))
+    items = saved(items.withColumn("row", F.monotonically_increasing_id()), "url-items")
     n = items.count()
     if n == 0:
         return spark.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=1.0).fit(items)
-    sets = saved(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
-    bad = (sets.where(F.array_contains("items", LABEL) & (F.size("items") > 1) & (F.col("freq") >= min_count))
-           .select(F.array_remove("items", LABEL).alias("items"), F.col("freq").alias("support")))
-    rules = (bad.join(sets, "items").select(F.col("items").alias("tokens"), "support",
-                                            (F.col("support") / F.col("freq")).alias("confidence"))
-             .where(F.col("confidence") >= min_confidence))
+    least = max(min_count, math.ceil(min_support * n), 1)
+    marked = items.select(F.array_contains("items", LABEL).cast("long").alias("bad"),
+                          F.explode(F.array_remove("items", LABEL)).alias("token"))
+    counts = marked.groupBy("token").agg(F.count(F.lit(1)).alias("freq"), F.sum("bad").alias("support")).where(F.col("support") >= least)
+    counts = saved(counts, "url-tokens")
+    share = F.col("support") / F.col("freq")
+    alone = counts.where(share >= min_confidence).select(F.array("token").alias("tokens"), "support", share.alias("confidence"))
+    mixed = counts.where("support < freq").select("token")
+    if mixed.count() <= BROADCAST_TOKENS:
+        mixed = F.broadcast(mixed)
+    pruned = (items.select("row", F.array_contains("items", LABEL).alias("bad"), F.explode("items").alias("token"))
+              .join(mixed, "token").groupBy("row", "bad").agg(F.collect_list("token").alias("items")))
+    pruned = pruned.select(F.when(F.col("bad"), F.array_append("items", F.lit(LABEL))).otherwise(F.col("items")).alias("items"))
+    pruned = saved(pruned.where(F.size("items") > 1), "url-pruned")
+    kept = pruned.count()
+    rules = alone
+    if kept:
+        # Half a row less, so that rounding cannot ask for one more.
+        model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / kept), minConfidence=1.0).fit(pruned)
+        sets = saved(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
+        bad = (sets.where(F.array_contains("items", LABEL) & (F.size("items") > 2))
+               .select(F.array_remove("items", LABEL).alias("items"), F.col("freq").alias("support")))
+        wider = (bad.join(sets, "items").select(F.col("items").alias("tokens"), "support",
+                                                (F.col("support") / F.col("freq")).alias("confidence"))
+                 .where(F.col("confidence") >= min_confidence))
+        rules = alone.unionByName(wider)
+    rules = saved(rules, "url-mined")
     # A covering rule begins with one of the covered rule's tokens.
     wide = rules.select("tokens", "confidence", F.explode("tokens").alias("first"))
     short = rules.select(F.col("tokens").alias("t2"), F.col("confidence").alias("c2"), F.col("tokens")[0].alias("first"))
@@ -102,7 +131,7 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
         (F.size("t2") < F.size("tokens")) & (F.col("c2") >= F.col("confidence"))
         & (F.size(F.array_except("t2", "tokens")) == 0)).select("tokens").distinct())
     rules = rules.join(covered, "tokens", "left_anti")
-    single = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
+    single = counts.select("token", "freq")
     rarest = (rules.select("tokens", F.explode("tokens").alias("token")).join(single, "token")
               .groupBy("tokens").agg(F.min(F.struct("freq", "token")).alias("r"))
               .select("tokens", F.col("r.token").alias("index_token")))

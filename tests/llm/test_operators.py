@@ -286,6 +286,16 @@ def test_rare_language_keeps_its_model_and_any_its_own_level(spark):
     assert abs(level[0][0] / (kneser.SLACK * drawn[math.ceil(kneser.QUANTILE * len(drawn)) - 1]) - 1) < 1e-6
 
 
+def test_wholly_bad_long_tail_host_is_blocked_at_any_size(spark):
+    urls = [(f"http://shop.tail{i % 2}.com/x/{i}", 0) for i in range(12)]
+    urls += [(f"http://shop.h{i % 700}.com/x/{i}", 1) for i in range(9000)] + [(f"http://www.tail0.com/x/{i}", 1) for i in range(40)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, q, 0) for i, (_, q) in enumerate(urls)], "doc_id long, quality long, toxic long")
+    got = {r["page_id"]: (r["verdict"], r["matched"]) for r in urlrules.judge(pages, labels, []).collect()}
+    assert all((got[i][0] == "block") == (q == 0) for i, (_, q) in enumerate(urls))
+    assert got[1][1] == ["h=tail1"] and set(got[0][1]) == {"h=shop", "h=tail0"}
+
+
 def test_article_texts_that_every_page_holds_stay(spark):
     copy = "<body><nav>menu</nav><div class=x><p>Terms</p></div><article><h1>Head</h1><p>First</p></article></body>"
     named = "<body><div class=x><p>Terms</p></div><article><p>By A. Writer</p><p>Text {i}</p></article></body>"
