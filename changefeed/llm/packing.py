@@ -94,8 +94,7 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer = Tokenizer.from_file(path)  # special tokens in a text get their own ids
         zero = self.tokenizer.encode("0", add_special_tokens=False).ids
         self.zero = zero[0] if len(zero) == 1 else -1
         # Lower-case ASCII letters need no normaliser and are one unit each,

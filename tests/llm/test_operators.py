@@ -61,12 +61,24 @@ def test_bpe_equals_whole_encoding_and_decodes(docs):
         assert [i for p in bpe.safe_parts(text, 7) for i in enc.encode_ordinary(p)] == enc.encode_ordinary(text)
 
 
+def test_word_encoder_equals_the_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    texts = ["foo<|endoftext|>bar <|endoftext|>", "<|startoftext|>0 x 0 <|ENDOFTEXT|>,", "it's IT'S don't 'S's 12a 0",
+             "İstanbul ΑΣ Σ ﬁ K Å 日本", "a\x1cb\xa0c\x85d", "", "  ", "Word, word. WORD"]
+    encoder = packing.WordEncoder(path, cache_words=8)
+    want = [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == want == encoder.encode(texts)
+    assert b"".join(encoder.encode([x])[0] for x in texts) == b"".join(want)
+
+
 def test_packing_covers_each_id_once(docs):
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     rows = packing.pack(docs, path, max_len=64).collect()
     assert len({r["sequence_id"] for r in rows}) == len(rows)
     got = Counter()

@@ -113,7 +113,6 @@ def plain_pieces(docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     for i, text, _ in docs:
         ids, at = [*t.encode(text or "", add_special_tokens=False).ids, 2], 0
         while at < len(ids):
