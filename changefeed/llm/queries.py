@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changefeed.llm import bagminhash, bpe, fingerprints, fixity, htmltext, kneser, packing, rules, scoring, urlrules
+from changefeed.llm import bagminhash, binslack, bpe, fingerprints, fixity, htmltext, kneser, packing, rules, scoring, urlrules
 from changefeed.llm.common import saved, table
 from changefeed.llm.oracle import ORACLE_SQL  # noqa: F401
 from changefeed.operators import once
@@ -108,6 +108,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saved(pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"), "op10")
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their places in shared sequences."""
+    pieces = binslack.pack(table(spark, sf_dir, "documents"),
+                           public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_quality_classifier": op2_quality_classifier,
@@ -119,4 +126,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fixity": op8_fixity,
     "op9_lm_scores": op9_lm_scores,
     "op10_packing": op10_packing,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
