@@ -25,6 +25,7 @@ doc_id stays null; extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import re
 import zlib
@@ -35,8 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_LEN = 4096
-#: Distinct words a worker keeps with their ids at most, in each of two tables.
-CACHE_WORDS = 400_000
+#: Distinct words a worker keeps with their ids, about, beyond those of the texts at hand.
+CACHE_WORDS = 1_000_000
 
 _ASCII_WORDS = re.compile(r"[^ \t-\r]+")
 #: White space to Python's split() but perhaps not to the tokenizer.
@@ -65,19 +66,15 @@ class _Recent:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def room(self, coming: int) -> None:
-        if len(self.new) + coming > self.half:
-            self.old, self.new = self.new, {}
-
-    def missing(self, keys: set[str]) -> list[str]:
+    def missing(self, keys: set[str]) -> set[str]:
         """Keys in neither half; those in the old one are moved up."""
-        out, old, new = [], self.old, self.new
-        for k in keys.difference(new):
-            v = old.get(k)
-            if v is None:
-                out.append(k)
-            else:
-                new[k] = v
+        left = keys.difference(self.new)
+        if len(self.new) + len(left) > self.half:
+            self.old, self.new = self.new, {}
+            left = keys
+        out = left.difference(self.old)
+        old = self.old
+        self.new.update([(k, old[k]) for k in left.difference(out)])
         return out
 
 
@@ -111,13 +108,13 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        """Empty the tables: a worker waits for its next task without them."""
-        self.words, self.units = _Recent(self.cache_words), _Recent(self.cache_words)
+        """Empty the table: a worker waits for its next task without it."""
+        self.known = _Recent(self.cache_words)
 
     def _encode_units(self, units: list[str]) -> None:
         # The digit 0 is always one unit with one id, which nothing else
         # has: words without it share a call, parted by it.
-        known = self.units.new
+        known = self.known.new
         plain = [u for u in units if u.isascii() and u.islower() and u.isalpha()]
         for lo in range(0, len(plain), 4000):
             part = plain[lo:lo + 4000]
@@ -146,27 +143,44 @@ class WordEncoder:
         for unit, enc in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             known[unit] = np.array(enc.ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        split = []
+    def _learn(self, words: set[str]) -> None:
+        """Words that the table has not; their letters and marks are entries
+        of the same table."""
+        known, match = self.known.new, self._TAILED.fullmatch
+        cut, units = [], set()
         for w in words:
-            m = self._TAILED.fullmatch(w)
-            split.append((m[1].lower(), m[2]) if m else (w, ""))
-        units = {u for pair in split for u in pair}
+            if w.isalpha() and w.islower() or not (m := match(w)):
+                units.add(w)
+            else:
+                core, tail = m[1].lower(), m[2]
+                cut.append((w, core, tail))
+                units.add(core)
+                units.add(tail)
         units.discard("")
-        self.units.room(len(units))
-        self._encode_units(self.units.missing(units))
-        ids, known = self.units.new, self.words.new
-        for w, (core, tail) in zip(words, split):
-            known[w] = ids[core] + ids[tail] if tail else ids[core]
+        units.difference_update(known)
+        old = self.known.old
+        for u in units.intersection(old):
+            known[u] = old[u]
+        self._encode_units(list(units.difference(known)))
+        for w, core, tail in cut:
+            known[w] = known[core] + known[tail] if tail else known[core]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        collects = gc.isenabled()
+        gc.disable()  # millions of small objects and no cycle: a collection only costs time
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         lists = [split_words(t) for t in texts]
         distinct: set[str] = set()
         for words in lists:
             distinct.update(words)
-        self.words.room(len(distinct.difference(self.words.new)))
-        self._learn(self.words.missing(distinct))
-        get = self.words.new.__getitem__
+        self._learn(self.known.missing(distinct))
+        get = self.known.new.__getitem__
         return [b"".join(map(get, words)) for words in lists]
 
 
