@@ -58,7 +58,43 @@ SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, posit
 FROM ranked WHERE rank <= 5
 """
 
+COLLOCATIONS = r"""
+WITH texts AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x
+    FROM documents),
+pieces AS (SELECT lang, unnest(regexp_extract_all(x, '[^.,;:!?\x0A-\x0D]+')) AS piece FROM texts),
+spelled AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+starts AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM spelled),
+grams AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+          FROM starts, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(ws)),
+counts AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(a) AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM counts WHERE k > 1 AND a >= 30),
+places AS (SELECT *, unnest(range(1, k)) AS j FROM candidates),
+cuts AS (
+    SELECT p.lang, p.k, p.phrase, p.a, p.j, f.a AS l, r.a AS r,
+           CAST(2000000 AS HUGEINT) * p.a // (f.a + r.a) AS score
+    FROM places p
+    JOIN counts f ON f.lang = p.lang AND f.phrase = array_to_string(p.ws[1:p.j], ' ')
+    JOIN counts r ON r.lang = p.lang AND r.phrase = array_to_string(p.ws[p.j + 1:], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (
+    SELECT lang, phrase, max(a) AS most FROM (
+        SELECT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+        FROM candidates, (SELECT unnest([1, 2, 3]) AS i), (SELECT unnest([2, 3]) AS m)
+        WHERE m < k AND i + m - 1 <= k)
+    GROUP BY lang, phrase),
+kept AS (
+    SELECT lowest.* FROM lowest LEFT JOIN inside USING (lang, phrase)
+    WHERE most IS NULL OR 100 * most < 80 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score, k AS words
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": QUALITY_RULES,
+    "op11_collocations": COLLOCATIONS,
     "op12_hard_negatives": HARD_NEGATIVES,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changefeed.llm import bagminhash, binslack, bpe, fingerprints, fixity, gnat, htmltext, kneser, packing, rules, scoring, urlrules
+from changefeed.llm import bagminhash, binslack, bpe, collocations, fingerprints, fixity, gnat, htmltext, kneser, packing, rules, scoring, urlrules
 from changefeed.llm.common import saved, table
 from changefeed.llm.oracle import ORACLE_SQL  # noqa: F401
 from changefeed.operators import once
@@ -108,6 +108,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saved(pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"), "op10")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 phrases."""
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hard negatives of every anchor's positives."""
     return gnat.mine(gnat.prepared(table(spark, sf_dir, "embeddings")))
@@ -131,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fixity": op8_fixity,
     "op9_lm_scores": op9_lm_scores,
     "op10_packing": op10_packing,
+    "op11_collocations": op11_collocations,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_best_fit_packing": op13_best_fit_packing,
 }
