@@ -181,13 +181,13 @@ def words(docs: DataFrame, seed: int = 0, bits: int = 64) -> DataFrame:
 
 
 def phrases(docs: DataFrame, k: int, maps: dict[str, np.ndarray], seed: int = 0, bits: int = 64) -> DataFrame:
-    """Phrases of k words that the bit maps let through: key, h1 .. hk, n.
+    """Phrases of k words that the bit maps let through: h1 .. hk, a.
 
     ``words``: words to count at all.  For three words ``pairs`` (pairs to count at all),
     ``before`` and ``after`` (the frontier's prefixes and suffixes).  For four also
     ``inside`` (phrases of three words that a longer one might drop).
     """
-    names = ["key", *(f"h{i + 1}" for i in range(k)), "n"]
+    names = [*(f"h{i + 1}" for i in range(k)), "n"]
 
     def chosen(h: np.ndarray, fresh: int):
         """Key and words of the phrases of which the last word is no earlier than ``fresh``."""
@@ -241,7 +241,7 @@ def phrases(docs: DataFrame, k: int, maps: dict[str, np.ndarray], seed: int = 0,
                 gathered.clear()
                 for lo in range(0, len(n), OUT_ROWS):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c[lo:lo + OUT_ROWS].astype(np.int64)) for c in (*cols, n)], names=names)
+                        [pa.array(c[lo:lo + OUT_ROWS]) for c in (*cols[1:], n)], names=names)
 
         for batch in batches:
             for lang, texts in _by_lang(batch):
@@ -265,6 +265,20 @@ def phrases(docs: DataFrame, k: int, maps: dict[str, np.ndarray], seed: int = 0,
     return counted.groupBy(*keys).agg(F.sum("n").alias("a"))
 
 
+def keyed(rows: DataFrame, k: int) -> DataFrame:
+    """The rows with the key that the bit maps know a phrase by."""
+
+    def run(batches):
+        for batch in batches:
+            cols = [batch.column(i).to_numpy() for i in range(k)]
+            key = mixed(cols[0], cols[1])
+            for c in cols[2:]:
+                key = mixed(key, c)
+            yield batch.append_column("key", pa.array(key.astype(np.int64)))
+
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in [*rows.columns, "key"]))
+
+
 def score(a: Column, both: Column) -> Column:
     """floor(2000000 * a / both), exactly."""
     whole = F.call_function("div", F.lit(SCALE).cast("decimal(7,0)") * a.cast("decimal(20,0)"), both.cast("decimal(20,0)"))
@@ -322,7 +336,7 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, bits: int
     maps = {"words": bitmap(single, "h")}
 
     def count(k):
-        return saved(phrases(docs, k, maps, seed, bits).where(F.col("a") >= min_count), f"phrase-{k}")
+        return saved(keyed(phrases(docs, k, maps, seed, bits).where(F.col("a") >= min_count), k), f"phrase-{k}")
 
     a = F.col("a")
     f1 = single.select("lang", F.col("h").alias("h1"), F.col("n").alias("first"))
