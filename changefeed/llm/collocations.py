@@ -76,21 +76,23 @@ def _parts(text: bytes):
         at = end
 
 
-def word_hash(lang: str, word: bytes, seed: int, bits: int = 64) -> int:
-    """A signed 64-bit number, never 0."""
-    salt = hashlib.blake2b(f"{seed} {lang}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
-    h = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=salt).digest(), "little") >> 64 - bits
-    return (h or 1) - (1 << 64 if h >> 63 else 0)
-
-
 class _Hashes(dict):
+    """Signed 64-bit numbers of a language's words, never 0 but for a stop."""
+
     def __init__(self, lang: str, seed: int, bits: int):
-        self.args = seed, bits
-        self.lang = lang
+        salt = hashlib.blake2b(f"{seed} {lang}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        self.start = hashlib.blake2b(digest_size=8, key=salt)
+        self.shift = 64 - bits
         self[_STOP] = 0
 
+    def of(self, word: bytes) -> int:
+        state = self.start.copy()
+        state.update(word)
+        h = int.from_bytes(state.digest(), "little") >> self.shift
+        return (h or 1) - (1 << 64 if h >> 63 else 0)
+
     def __missing__(self, word: bytes) -> int:
-        self[word] = h = word_hash(self.lang, word, *self.args)
+        self[word] = h = self.of(word)
         return h
 
 
@@ -154,12 +156,12 @@ def words(docs: DataFrame, seed: int = 0, bits: int = 64) -> DataFrame:
         def out():
             for lang, counter in held.items():
                 counter.pop(_STOP, None)
-                items = list(counter.items())
+                items, hashes = list(counter.items()), _Hashes(lang, seed, bits)
                 for lo in range(0, len(items), OUT_ROWS):
                     own, n = zip(*items[lo:lo + OUT_ROWS])
                     yield pa.RecordBatch.from_arrays(
                         [pa.repeat(pa.scalar(lang, pa.string()), len(own)), pa.array(own, pa.binary()),
-                         pa.array([word_hash(lang, w, seed, bits) for w in own], pa.int64()), pa.array(n, pa.int64())],
+                         pa.array(list(map(hashes.of, own)), pa.int64()), pa.array(n, pa.int64())],
                         names=["lang", "word", "h", "n"])
             held.clear()
 
