@@ -13,7 +13,15 @@ from changefeed.operators.ingest import (
     valid,
 )
 from changefeed.operators.partitioning import spread
-from changefeed.operators.recentchange import domains, flatten, malformed, parse, parse_records, well_formed
+from changefeed.operators.recentchange import (
+    domains,
+    flatten,
+    malformed,
+    parse,
+    parse_records,
+    reads_as_object,
+    well_formed,
+)
 
 __all__ = [
     "REASONS",
@@ -30,6 +38,7 @@ __all__ = [
     "parse_records",
     "prefilter_domains",
     "ranked",
+    "reads_as_object",
     "rejects",
     "spread",
     "valid",

@@ -35,10 +35,11 @@ DOMAIN_NOT_STRING = "domain_not_string"
 REASONS = (INVALID_UTF8, INVALID_JSON, NOT_OBJECT, META_NOT_OBJECT, DOMAIN_NOT_STRING)
 
 
-def frame(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    """Keep event lines and strip their prefix: ``value`` -> ``payload``."""
+def frame(lines: DataFrame, line_col: str = "value", keep: Iterable[str] = ()) -> DataFrame:
+    """Keep event lines and strip their prefix: ``value`` -> ``payload``;
+    ``keep``: further columns to carry along."""
     return lines.where(is_data_line(line_col)).select(
-        strip_data_prefix(line_col).alias("payload")
+        strip_data_prefix(line_col).alias("payload"), *keep
     )
 
 
@@ -105,9 +106,7 @@ def prefilter_domains(framed: DataFrame, domains: Iterable[str] | None = None,
     domain (see :func:`changefeed.functions.may_name_domain`).
 
     Exact: it only removes lines :func:`filter_domains` would drop anyway.
-    With a short allow-list most lines of a busy feed are never parsed; each
-    listed domain is one more search of the text, so leave this step out
-    (``jobs.ingest(..., pretest=False)``) for a list of hundreds.
+    Most lines of a busy feed are then never parsed, however long the list.
     """
     allowed = sorted(set(domains or ()))
     if not allowed:
@@ -116,11 +115,12 @@ def prefilter_domains(framed: DataFrame, domains: Iterable[str] | None = None,
 
 
 def keyed(records: DataFrame, payload_col: str = "payload",
-          domain_col: str = "domain") -> DataFrame:
+          domain_col: str = "domain", keep: Iterable[str] = ()) -> DataFrame:
     """Key/value layout of a message-bus record: key = domain (or the
-    default key), value = the whole JSON object as UTF-8 bytes."""
+    default key), value = the whole JSON object as UTF-8 bytes; ``keep``:
+    further columns to carry along."""
     return records.select(
         partition_key(domain_col).alias("key"),
-        F.col(payload_col).cast("binary").alias("value"),
+        F.col(payload_col).cast("binary").alias("value"), *keep,
     )
 

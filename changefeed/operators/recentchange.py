@@ -35,6 +35,7 @@ def flatten(parsed: DataFrame, time_zone: str | None = None) -> DataFrame:
     if time_zone is not None and time_zone == parsed.sparkSession.conf.get(
             "spark.sql.session.timeZone", None):
         time_zone = None
+    # The eleven output names, which users' queries rely on.
     return parsed.select(
         F.col("id").alias("event_id"),
         F.col("type").alias("event_type"),
@@ -56,19 +57,19 @@ def domains(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     return parse(df, payload_col, DOMAIN_SCHEMA).select(F.col("meta.domain").alias("domain"))
 
 
-def _reads_as_object(payload_col: str):
+def reads_as_object(payload_col: str):
     """``parse`` reads an object here (with the same reader settings)."""
     return F.from_json(F.col(payload_col), "map<string,string>", JSON_READ_OPTIONS).isNotNull()
 
 
 def well_formed(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     """Rows whose payload ``parse`` maps to a real row."""
-    return df.where(_reads_as_object(payload_col))
+    return df.where(reads_as_object(payload_col))
 
 
 def malformed(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     """Rows ``parse`` turns into all-null rows: the others."""
-    return df.where(~_reads_as_object(payload_col))
+    return df.where(~reads_as_object(payload_col))
 
 
 def parse_records(records: DataFrame, value_col: str = "value",

@@ -8,15 +8,19 @@ can be passed with ``spark-submit --conf``.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changefeed import operators as ops
-from changefeed.sinks import append_stream, overwrite
+from changefeed.plans.incremental import refresh, summary
+from changefeed.sinks import BatchReport, Output, append_outputs, append_stream, overwrite, read_batches
+from changefeed.sinks.tables import BATCH_COLUMN, QUERY_COLUMN
 from changefeed.sources import feed_lines, record_stream, table
-from changefeed.streaming import BatchRowsListener, batch_bytes, observe_rows, run_all
+from changefeed.sources.feed import POSITION
+from changefeed.streaming import BatchRowsListener, batch_bytes, observe_rows, run_all, start_at_tip
 
 CHANGES_METRIC = "changes"
 
@@ -44,23 +48,72 @@ def changes(records: DataFrame, time_zone: str | None = None,
     return ops.parse_records(records, time_zone=time_zone, on_malformed=on_malformed)
 
 
+#: Columns of records written in feed order (besides ``batch_id``), in order.
+SEQUENCE = (*POSITION, "place")
+
+
 def stream_ingest(spark: SparkSession, lines_path: str, checkpoint: str, *,
                   records_path: str | None = None, records_table: str | None = None,
                   fmt: str = "parquet", options: dict[str, str] | None = None,
                   domains: Iterable[str] | None = None, trigger: str = "60 seconds",
                   max_files_per_trigger: int | None = None,
                   max_bytes_per_trigger: str | None = None,
-                  source_options: dict[str, str] | None = None) -> StreamingQuery:
+                  source_options: dict[str, str] | None = None,
+                  rejects_path: str | None = None, metrics_path: str | None = None,
+                  ordered: bool = False, from_tip: bool = False,
+                  on_batch: Callable[[BatchReport], None] | None = None) -> StreamingQuery:
     """Landed feed lines -> keyed records on a bus topic or a table.
 
     ``source_options`` go to the file source, e.g. ``cleanSource`` so that a
     long-running stream does not relist an ever-growing folder.
+
+    ``rejects_path``: data lines that are not forwarded are appended there
+    with their ``reason`` by the same batch (one read, one parse; see
+    :func:`changefeed.sinks.append_outputs`), so records and rejects together
+    are always the whole input, whatever happens between the two writes.
+    ``metrics_path``: a durable row count per batch and output.  ``ordered``:
+    records carry their place in the feed (:data:`SEQUENCE`; read them with
+    :func:`records_in_order`).  ``from_tip``: a first run passes over what has
+    landed before.  ``on_batch`` is called with each batch's report.
     """
     lines = feed_lines(spark, lines_path, streaming=True,
                        max_files_per_trigger=max_files_per_trigger,
-                       max_bytes_per_trigger=max_bytes_per_trigger, options=source_options)
-    return append_stream(ingest(lines, domains), checkpoint, table=records_table,
-                         path=records_path, fmt=fmt, trigger=trigger, options=options)
+                       max_bytes_per_trigger=max_bytes_per_trigger, options=source_options,
+                       positions=ordered)
+    if from_tip:
+        start_at_tip(lines, checkpoint)
+    if rejects_path is None and metrics_path is None and on_batch is None and not (ordered or from_tip):
+        return append_stream(ingest(lines, domains), checkpoint, table=records_table,
+                             path=records_path, fmt=fmt, trigger=trigger, options=options)
+    where = tuple(POSITION) if ordered else ()
+    framed = ops.frame(lines, keep=where)
+    if rejects_path is None:  # else every line is judged, allowed or not
+        framed = ops.prefilter_domains(framed, domains)
+
+    def records(batch: DataFrame) -> DataFrame:
+        if ordered:  # counted before anything is left out, in the order of the lines of a split
+            batch = batch.withColumn("place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+        kept = ops.filter_domains(batch.where(F.col("reason").isNull()), domains)
+        return ops.keyed(kept, keep=() if fmt == "kafka" else SEQUENCE if ordered else ())
+
+    outputs = [Output("records", records, path=None if fmt == "kafka" else records_path,
+                      table=records_table, fmt=fmt, options=options or {})]
+    if rejects_path is not None:
+        outputs.append(Output("rejects", lambda batch: batch.where(F.col("reason").isNotNull()).select(
+            "payload", "reason"), path=rejects_path))
+    return append_outputs(ops.classify(framed), checkpoint, outputs, trigger=trigger,
+                          metrics_path=metrics_path, on_batch=on_batch)
+
+
+def records_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """Records that ``stream_ingest(ordered=True)`` wrote, sorted by key and,
+    within a key, by their place in the feed: (key, value, batch_id, ...).
+
+    A range sort on all of these columns: a key that holds a third of the
+    records is spread over several partitions, which follow each other.
+    """
+    rows = read_batches(spark, path, keep_ids=True)
+    return rows.orderBy("key", QUERY_COLUMN, BATCH_COLUMN, *SEQUENCE)
 
 
 def stream_ingest_rejects(spark: SparkSession, lines_path: str, checkpoint: str, path: str, *,
@@ -89,31 +142,51 @@ def stream_changes(spark: SparkSession, checkpoint: str, *, source_fmt: str = "p
                    max_files_per_trigger: int | None = None,
                    max_bytes_per_trigger: str | None = None,
                    partitions: int | None = None,
-                   options: dict[str, str] | None = None) -> list[StreamingQuery]:
+                   options: dict[str, str] | None = None, metrics_path: str | None = None,
+                   sample: int = 0, on_batch: Callable[[BatchReport], None] | None = None,
+                   from_tip: bool = False) -> list[StreamingQuery]:
     """Keyed records -> parse -> flatten -> append, one micro-batch per
     trigger.
 
     Rows per batch are published as the ``changes`` observed metric.  With
     ``on_malformed="quarantine"`` malformed payloads are left out of the
-    table and a second query appends them to ``quarantine_path``, which
-    must be given.  ``partitions`` bounds the files each batch writes and
-    ``options`` go to the sink.  Returns the started queries (changes first).
+    table and appended to ``quarantine_path``, which must be given, by the
+    same batch of the same query: table and quarantine together are always the whole
+    input (``quarantine_checkpoint`` is no longer used).  ``metrics_path``: a durable
+    row count per batch and output; ``sample`` and ``on_batch``: a report of
+    each batch with so many of its rows.  ``from_tip``: a first run passes over
+    what is there (for a topic the source's own option does that).
+    ``partitions`` bounds the files each batch writes and ``options`` go to
+    the sink.  Returns the started query in a list.
     """
     if on_malformed == "quarantine" and quarantine_path is None:
         raise ValueError("quarantine needs a quarantine_path")
     records = record_stream(spark, source_fmt, source_path, source_options,
                             max_files_per_trigger=max_files_per_trigger,
                             max_bytes_per_trigger=max_bytes_per_trigger)
-    flat = observe_rows(changes(records, time_zone, on_malformed), CHANGES_METRIC)
-    started = [append_stream(flat, checkpoint, table=table, path=path, fmt=fmt, trigger=trigger,
-                             options=options, partitions=partitions)]
-    if quarantine_path is not None:
-        if quarantine_checkpoint is None:
-            raise ValueError("quarantine_path needs quarantine_checkpoint")
-        bad = ops.malformed(records.select(records["value"].cast("string").alias("payload")))
-        started.append(append_stream(bad, quarantine_checkpoint, path=quarantine_path,
-                                     trigger=trigger))
-    return started
+    if from_tip and source_fmt != "kafka":
+        start_at_tip(records, checkpoint)
+    if quarantine_path is None and metrics_path is None and on_batch is None and not (sample or from_tip):
+        flat = observe_rows(changes(records, time_zone, on_malformed), CHANGES_METRIC)
+        return [append_stream(flat, checkpoint, table=table, path=path, fmt=fmt, trigger=trigger,
+                              options=options, partitions=partitions)]
+
+    def main(rows) -> Output:
+        return Output("changes", rows, path=path, table=table, fmt=fmt, options=options or {}, partitions=partitions)
+
+    if quarantine_path is None:
+        outputs = [main(lambda batch: batch)]
+        source = observe_rows(changes(records, time_zone, on_malformed), CHANGES_METRIC)
+    else:
+        keep = on_malformed == "keep"
+        source = (records.select(records["value"].cast("string").alias("payload"))
+                  .withColumn("well_formed", ops.reads_as_object("payload"))
+                  .observe(CHANGES_METRIC, F.count_if(F.lit(keep) | F.col("well_formed")).alias("n")))
+        outputs = [main(lambda batch: ops.flatten(ops.parse(batch if keep else batch.where("well_formed")), time_zone)),
+                   Output("quarantine", lambda batch: batch.where("NOT well_formed").select("payload"),
+                          path=quarantine_path)]
+    return [append_outputs(source, checkpoint, outputs, trigger=trigger, metrics_path=metrics_path,
+                           sample=sample, on_batch=on_batch)]
 
 
 def summarize(changes_df: DataFrame) -> DataFrame:
@@ -123,11 +196,14 @@ def summarize(changes_df: DataFrame) -> DataFrame:
 
 def domain_edit_counts(spark: SparkSession, *, src_table: str | None = None,
                        src_path: str | None = None, dst_table: str | None = None,
-                       dst_path: str | None = None, fmt: str = "parquet") -> None:
-    """Read the whole changes table, count per domain, overwrite the summary.
-
-    Source and target must differ: the overwrite would otherwise truncate
-    the table it is reading.
+                       dst_path: str | None = None, fmt: str = "parquet",
+                       partials_path: str | None = None) -> None:
+    """Count the changes table per domain and replace the summary.
+
+    The summary is replaced as a whole: readers see the old one until the new
+    one is complete (read a ``dst_path`` with ``sources.table``).  Source and target must differ.  With ``partials_path``
+    (source a path written batch by batch) counts are kept there per commit
+    and only commits without counts are read; else the whole table is.
     """
     src = src_table or src_path
     dst = dst_table or dst_path
@@ -135,8 +211,14 @@ def domain_edit_counts(spark: SparkSession, *, src_table: str | None = None,
         raise ValueError("need a source and a target")
     if src == dst:
         raise ValueError("source and target of the summary must differ")
-    counts = summarize(table(spark, src_table, src_path, fmt))
-    overwrite(counts, table=dst_table, path=dst_path, fmt=fmt)
+    if partials_path is not None:
+        if src_path is None:
+            raise ValueError("counts per commit need a source path")
+        refresh(spark, src_path, partials_path, fmt=fmt)
+        counts = summary(spark, partials_path)
+    else:
+        counts = summarize(table(spark, src_table, src_path, fmt))
+    overwrite(counts, table=dst_table, path=dst_path, fmt=fmt, atomic=fmt != "delta")
 
 
 def changed_domains(records: DataFrame, value_col: str = "value") -> DataFrame:
@@ -198,10 +280,12 @@ def ingest_main(spark: SparkSession | None = None) -> None:
     ``spark.app.sinkFormat`` (default ``kafka``) with ``spark.app.sink.*``
     options (e.g. ``topic``, ``kafka.bootstrap.servers``), or
     ``spark.app.recordsPath`` for a file sink.  With ``spark.app.rejectsPath``
-    (and ``spark.app.rejectsCheckpoint``) the reject log runs alongside; both
-    end at one deadline, and if one fails both end.  ``spark.app.source.*``
-    are options of the file source, ``spark.app.maxFilesPerTrigger`` and
-    ``spark.app.maxBytesPerTrigger`` bound a batch.
+    the same batches append the reject log; ``spark.app.metricsPath`` keeps a row
+    count per batch, ``spark.app.fromTip=true`` passes over what has landed
+    before a first run, ``spark.app.ordered=true`` writes each record's place in the feed.
+    ``spark.app.source.*`` are options of the file source,
+    ``spark.app.maxFilesPerTrigger`` and ``spark.app.maxBytesPerTrigger``
+    bound a batch.
     """
     from changefeed.session import build_session
 
@@ -209,16 +293,18 @@ def ingest_main(spark: SparkSession | None = None) -> None:
     sink_options = _prefixed(spark, "sink")
     domains = [d.strip() for d in (_conf(spark, "domains", "") or "").split(",") if d.strip()]
     trigger = _conf(spark, "trigger", "60 seconds")
-    started = [stream_ingest(
+    query = stream_ingest(
         spark, _conf(spark, "linesPath"), _conf(spark, "checkpoint"),
         records_path=_conf(spark, "recordsPath"),
         fmt=_conf(spark, "sinkFormat", "kafka"), options=sink_options, domains=domains,
-        trigger=trigger, source_options=_prefixed(spark, "source"), **_caps(spark))]
-    if _conf(spark, "rejectsPath"):
-        started.append(stream_ingest_rejects(
-            spark, _conf(spark, "linesPath"), _conf(spark, "rejectsCheckpoint"),
-            _conf(spark, "rejectsPath"), trigger=trigger, **_caps(spark)))
-    run_all(started, _seconds(spark))
+        trigger=trigger, source_options=_prefixed(spark, "source"),
+        rejects_path=_conf(spark, "rejectsPath"), metrics_path=_conf(spark, "metricsPath"),
+        ordered=_flag(spark, "ordered"), from_tip=_flag(spark, "fromTip"), **_caps(spark))
+    run_all([query], _seconds(spark))
+
+
+def _flag(spark: SparkSession, key: str) -> bool:
+    return (_conf(spark, key, "false") or "").strip().lower() == "true"
 
 
 def _report(name: str | None, batch_id: int, rows: int) -> None:
@@ -234,8 +320,9 @@ def streaming_main(spark: SparkSession | None = None) -> None:
     ``spark.app.trigger`` (default ``60 seconds``), ``spark.app.format`` and
     ``spark.app.sink.*`` options, ``spark.app.timeZone``,
     ``spark.app.partitions`` (files a batch),
-    ``spark.app.maxFilesPerTrigger`` / ``maxBytesPerTrigger``, and
-    ``spark.app.quarantinePath`` with ``spark.app.quarantineCheckpoint``.
+    ``spark.app.maxFilesPerTrigger`` / ``maxBytesPerTrigger``,
+    ``spark.app.quarantinePath``, ``spark.app.metricsPath`` and
+    ``spark.app.fromTip``.
     """
     from changefeed.session import build_session
 
@@ -254,7 +341,8 @@ def streaming_main(spark: SparkSession | None = None) -> None:
         time_zone=_conf(spark, "timeZone"),
         on_malformed="quarantine" if quarantine else "keep",
         quarantine_path=quarantine,
-        quarantine_checkpoint=_conf(spark, "quarantineCheckpoint"),
+        metrics_path=_conf(spark, "metricsPath"),
+        from_tip=_flag(spark, "fromTip"),
         partitions=int(partitions) if partitions else None,
         options=_prefixed(spark, "sink"),
         **_caps(spark),

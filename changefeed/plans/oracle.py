@@ -99,6 +99,16 @@ ORACLE_SQL: dict[str, str] = {
     "catalog_tables_summary": _COUNTS,
     "summary_order": f"""SELECT *, row_number() OVER (ORDER BY edit_count DESC, "domain" NULLS FIRST) AS place
         FROM ({_COUNTS}) s""",
+    "durable_batch_counts": f"""SELECT 'records' AS output, count(*) AS n_rows FROM events WHERE {_VALID}
+        UNION ALL SELECT 'rejects', count(*) FROM ({_REJECTS}) r""",
+    "stream_tip_start": _flat(f"{_VALID} AND event_id % 3 <> 0"),
+    "ingest_record_order": f"""{_OBJ} SELECT coalesce({_DOMAIN}, 'default_domain') AS "key", {_PAYLOAD} AS payload,
+        CAST(event_id % 4 AS BIGINT) AS batch_id FROM o WHERE {_VALID}""",
+    "summary_by_commits": _COUNTS,
+    "stream_batch_preview": f"""SELECT least(count(*), 5) AS n_known, count(*) AS n_counted, count(*) AS n_rows
+        FROM events WHERE {_VALID}""",
+    "app_settings_run": _COUNTS,
+    "stream_until_stopped": _CHANGES,
     "ingest_records": f"""{_OBJ} SELECT coalesce({_DOMAIN}, 'default_domain') AS "key", {_PAYLOAD} AS payload
         FROM o WHERE {_VALID}""",
 }

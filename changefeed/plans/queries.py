@@ -20,9 +20,9 @@ from changefeed import operators as ops
 from changefeed.functions import url_host
 from changefeed.plans import jobs
 from changefeed.session import shared_dir
-from changefeed.sinks import append_batches, append_stream, write_records
-from changefeed.sources import feed_lines, json_events, read_records, render_feed
-from changefeed.streaming import BatchRowsListener, batch_bytes, drain, preview, run_bounded
+from changefeed.sinks import BatchReport, append_batches, append_stream, read_batches, read_metrics, write_records
+from changefeed.sources import feed_lines, json_events, read_records, render_feed, table
+from changefeed.streaming import BatchRowsListener, batch_bytes, drain, preview, run_bounded, stop_at_batch_end
 
 TZ = "UTC"
 ALLOW_LIST = ("click.example.org", "view.example.org")
@@ -141,7 +141,7 @@ def summary_overwrite_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         jobs.domain_edit_counts(spark, src_path=f"{base}/recent_changes_stream",
                                 dst_path=f"{base}/domain_edit_counts")
-    return spark.read.parquet(f"{base}/domain_edit_counts")
+    return table(spark, path=f"{base}/domain_edit_counts")
 
 
 class _StreamBed:
@@ -201,7 +201,7 @@ def end_to_end_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     bed.run()
     summary = f"{bed.base}/domain_edit_counts"
     jobs.domain_edit_counts(spark, src_path=bed.changes, dst_path=summary)
-    return spark.read.parquet(summary)
+    return table(spark, path=summary)
 
 
 def stream_restart_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,7 +272,6 @@ def _stream_quarantine(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
             spark, f"{base}/_ckpt_changes", source_path=f"{base}/records",
             path=f"{base}/recent_changes_stream", trigger="available_now", time_zone=TZ,
             on_malformed="quarantine", quarantine_path=f"{base}/quarantine",
-            quarantine_checkpoint=f"{base}/_ckpt_quarantine",
             max_bytes_per_trigger=batch_bytes(spark)):
         run_bounded(q)
     return f"{base}/recent_changes_stream", f"{base}/quarantine"
@@ -280,22 +279,139 @@ def _stream_quarantine(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 def stream_quarantine_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOB2 with quarantine: the table holds only well-formed payloads."""
-    return spark.read.parquet(_stream_quarantine(spark, sf_dir)[0])
+    return read_batches(spark, _stream_quarantine(spark, sf_dir)[0])
 
 
 def stream_quarantine_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOB2 with quarantine: the side table holds the malformed payloads."""
-    return spark.read.parquet(_stream_quarantine(spark, sf_dir)[1])
+    return read_batches(spark, _stream_quarantine(spark, sf_dir)[1])
 
 
 def stream_ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FLT2, FLT3 as a stream: the reject log appended next to the ingest."""
-    base = shared_dir(spark, "stream-rejects")
+    """FLT2, FLT3 as a stream: the reject log, written by the ingest's own batches."""
+    return read_batches(spark, f"{_split_ingest(spark, sf_dir)}/rejects")
+
+
+def _split_ingest(spark: SparkSession, sf_dir: str, name: str = "stream-rejects") -> str:
+    """Records, rejects and batch counts of one ingest query that is stopped
+    and started again, each time with half of the feed more; its folder."""
+    base = shared_dir(spark, name)
+    lines = render_feed(_events(spark, sf_dir), keep_id=True)
+    for half in ("event_id % 2 = 0", "NOT coalesce(event_id % 2 = 0, false)"):
+        lines.where(half).select("value").write.mode("append").text(f"{base}/landing")
+        run_bounded(jobs.stream_ingest(
+            spark, f"{base}/landing", f"{base}/_ckpt", records_path=f"{base}/records",
+            rejects_path=f"{base}/rejects", metrics_path=f"{base}/metrics", trigger="available_now",
+            max_bytes_per_trigger=batch_bytes(spark)))
+    return base
+
+
+def durable_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG2, STR4: rows per output, added up from the counts that two runs
+    of a query left for each batch."""
+    counts = read_metrics(spark, f"{_split_ingest(spark, sf_dir, 'batch-counts')}/metrics")
+    return counts.groupBy("output").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def stream_tip_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR3: a first run from the tip reads only what lands after it was set."""
+    base = shared_dir(spark, "stream-tip")
+    lines = render_feed(_events(spark, sf_dir), keep_id=True)
+
+    def land(which):
+        lines.where(which).select("value").write.mode("append").text(f"{base}/landing")
+
+    def run():
+        run_bounded(jobs.stream_ingest(spark, f"{base}/landing", f"{base}/_ckpt", records_path=f"{base}/records",
+                                       trigger="available_now", from_tip=True,
+                                       max_bytes_per_trigger=batch_bytes(spark)))
+
+    land("event_id % 3 = 0")
+    run()
+    land("NOT coalesce(event_id % 3 = 0, false)")
+    run()
+    run()
+    return jobs.changes(read_records(spark, path=f"{base}/records"), TZ)
+
+
+def ingest_record_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK1, SRC2: records with their batch, the feed landing in four parts."""
+    base = shared_dir(spark, "record-order")
+    lines = render_feed(_events(spark, sf_dir), keep_id=True)
+    for part in range(4):
+        lines.where(f"pmod(coalesce(event_id, 0), 4) = {part}").select("value").write.mode("append").text(
+            f"{base}/landing")
+        run_bounded(jobs.stream_ingest(spark, f"{base}/landing", f"{base}/_ckpt", records_path=f"{base}/records",
+                                       trigger="available_now", ordered=True))
+    rows = jobs.records_in_order(spark, f"{base}/records")
+    return rows.select("key", F.col("value").cast("string").alias("payload"), F.col("batch_id").cast("long"))
+
+
+def summary_by_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG1, SRC4, JOB3: counts per commit of the changes table, refreshed
+    after each of two runs of the stream, published as the summary."""
+    base = shared_dir(spark, "by-commits")
+    lines = render_feed(_events(spark, sf_dir), keep_id=True)
+    for half in ("event_id % 2 = 0", "NOT coalesce(event_id % 2 = 0, false)"):
+        write_records(jobs.ingest(lines.where(half)), path=f"{base}/records")
+        for q in jobs.stream_changes(spark, f"{base}/_ckpt", source_path=f"{base}/records",
+                                     path=f"{base}/changes", trigger="available_now", time_zone=TZ,
+                                     metrics_path=f"{base}/metrics", max_bytes_per_trigger=batch_bytes(spark)):
+            run_bounded(q)
+        jobs.domain_edit_counts(spark, src_path=f"{base}/changes", dst_path=f"{base}/summary",
+                                partials_path=f"{base}/partials")
+    return table(spark, path=f"{base}/summary")
+
+
+def stream_batch_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT2, AGG2: what the batches' own reports show: rows counted, and how
+    many of the sampled rows are in the table (five a batch)."""
+    base = shared_dir(spark, "batch-preview")
+    write_records(jobs.ingest(_lines(spark, sf_dir)), path=f"{base}/records")
+    reports: list[BatchReport] = []
+    for q in jobs.stream_changes(spark, f"{base}/_ckpt", source_path=f"{base}/records", path=f"{base}/changes",
+                                 trigger="available_now", time_zone=TZ, sample=5, on_batch=reports.append):
+        run_bounded(q)
+    shown = [r["event_id"] for report in reports for r in report.sample]  # five a batch
+    rows = read_batches(spark, f"{base}/changes")
+    return rows.agg(F.count_if(F.col("event_id").isin(shown)).alias("n_known"),
+                    F.lit(sum(r.counts["changes"] for r in reports)).cast("long").alias("n_counted"),
+                    F.count(F.lit(1)).alias("n_rows"))
+
+
+def app_settings_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB1-4: the three entry points, driven by ``spark.app.*`` settings."""
+    base = shared_dir(spark, "app-settings")
+    db = "changefeed_" + base.rsplit("-", 1)[1]
+    _lines(spark, sf_dir).write.text(f"{base}/landing")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{base}/db'")
+    settings = {"linesPath": f"{base}/landing", "checkpoint": f"{base}/_ckpt_ingest", "sinkFormat": "parquet",
+                "recordsPath": f"{base}/records", "rejectsPath": f"{base}/rejects", "trigger": "available_now",
+                "sourceFormat": "parquet", "sourcePath": f"{base}/records", "db": db, "timeZone": TZ}
+    try:
+        for main, own in ((jobs.ingest_main, {}), (jobs.streaming_main, {"checkpoint": f"{base}/_ckpt_changes"}),
+                          (jobs.batch_main, {})):
+            for key, value in (settings | own).items():
+                spark.conf.set(f"spark.app.{key}", value)
+            main(spark)
+        spark.read.table(f"{db}.{jobs.SUMMARY_TABLE}").write.parquet(f"{base}/out")
+    finally:
+        for key in settings:
+            spark.conf.unset(f"spark.app.{key}")
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+    return spark.read.parquet(f"{base}/out")
+
+
+def stream_until_stopped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1, STR5, STR6: a query without an end of its own, stopped between
+    two batches once it has caught up; nothing is left to be redone."""
+    base = shared_dir(spark, "until-stopped")
     _lines(spark, sf_dir).write.text(f"{base}/landing")
-    run_bounded(jobs.stream_ingest_rejects(
-        spark, f"{base}/landing", f"{base}/_ckpt", f"{base}/rejects",
-        trigger="available_now", max_bytes_per_trigger=batch_bytes(spark)))
-    return spark.read.parquet(f"{base}/rejects")
+    query = jobs.stream_ingest(spark, f"{base}/landing", f"{base}/_ckpt", records_path=f"{base}/records",
+                               trigger="1 second", max_bytes_per_trigger=batch_bytes(spark))
+    query.processAllAvailable()
+    stop_at_batch_end(query)
+    return jobs.changes(read_records(spark, path=f"{base}/records"), TZ)
 
 
 def stream_changes_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,7 +447,10 @@ def catalog_tables_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  max_bytes_per_trigger=batch_bytes(spark)):
         run_bounded(q)
     jobs.domain_edit_counts(spark, src_table=f"{name}_changes", dst_table=f"{name}_summary")
-    return spark.read.table(f"{name}_summary")
+    spark.read.table(f"{name}_summary").write.parquet(f"{base}/out")
+    for t in ("changes", "summary"):
+        spark.sql(f"DROP TABLE {name}_{t}")
+    return spark.read.parquet(f"{base}/out")
 
 
 def json_events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,4 +492,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_empty_batch": stream_empty_batch,
     "batch_row_metrics": batch_row_metrics,
     "preview_rows": preview_rows,
+    "durable_batch_counts": durable_batch_counts,
+    "stream_tip_start": stream_tip_start,
+    "ingest_record_order": ingest_record_order,
+    "summary_by_commits": summary_by_commits,
+    "stream_batch_preview": stream_batch_preview,
+    "app_settings_run": app_settings_run,
+    "stream_until_stopped": stream_until_stopped,
 }

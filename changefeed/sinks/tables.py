@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from changefeed.sinks.publish import publish, table_home
 from changefeed.streaming.triggers import apply_trigger
 
 
@@ -110,19 +111,27 @@ def batch_writer(path: str, *, fmt: str = "parquet", options: dict[str, str] | N
 
 
 def overwrite(df: DataFrame, *, table: str | None = None, path: str | None = None,
-              fmt: str = "parquet") -> None:
+              fmt: str = "parquet", atomic: bool | None = None) -> None:
     """Replace the whole table with ``df``.
 
     Re-running on the same input leaves the same table.  On a catalog whose
     format supports it (``iceberg``, ``delta``), ``writeTo().createOrReplace()``
-    swaps the table atomically; otherwise a save-mode overwrite.
+    swaps the table; otherwise, for a catalog table, or a path with
+    ``atomic=True``, :func:`changefeed.sinks.publish` writes a run of its own
+    and shows it when complete (read such a path with ``sources.table``).
+    ``atomic=False``, the default of a path, is a save-mode overwrite in place.
     """
     if (table is None) == (path is None):
         raise ValueError("give exactly one of table or path")
     if table is not None:
         if fmt in ("iceberg", "delta"):
             df.writeTo(table).using(fmt).createOrReplace()
+        elif atomic is not False:
+            publish(df, table_home(df.sparkSession, table), table=table, fmt=fmt)
         else:
             df.write.format(fmt).mode("overwrite").saveAsTable(table)
         return
-    df.write.format(fmt).mode("overwrite").save(path)
+    if atomic and fmt != "delta":
+        publish(df, path, fmt=fmt)
+    else:
+        df.write.format(fmt).mode("overwrite").save(path)

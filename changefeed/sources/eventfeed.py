@@ -68,8 +68,9 @@ def _object_without_meta() -> Column:
     )
 
 
-def render_feed(events: DataFrame, keep_ts: bool = False) -> DataFrame:
-    """``events`` -> feed lines ``value`` (plus ``ts`` when ``keep_ts``)."""
+def render_feed(events: DataFrame, keep_ts: bool = False, keep_id: bool = False) -> DataFrame:
+    """``events`` -> feed lines ``value`` (plus ``ts`` when ``keep_ts``, and
+    ``event_id`` when ``keep_id``)."""
     eid = F.col("event_id")
     rest = F.col("_rest")  # '{"id":...}' without meta
     body = F.substr(rest, F.lit(2))  # '"id":...}'
@@ -87,4 +88,4 @@ def render_feed(events: DataFrame, keep_ts: bool = False) -> DataFrame:
     rendered = events.select("event_id", "event_type", "ts", _object_without_meta().alias("_rest"))
     # Render each line once, even when a later filter reads it.
     rendered = once(rendered, line, "value")
-    return rendered.select("value", *(["ts"] if keep_ts else []))
+    return rendered.select("value", *(["ts"] if keep_ts else []), *(["event_id"] if keep_id else []))

@@ -7,7 +7,15 @@ from changefeed.streaming.metrics import (
     preview,
     preview_stream,
 )
-from changefeed.streaming.triggers import apply_trigger, batch_bytes, drain, run_all, run_bounded
+from changefeed.streaming.triggers import (
+    apply_trigger,
+    batch_bytes,
+    drain,
+    run_all,
+    run_bounded,
+    start_at_tip,
+    stop_at_batch_end,
+)
 
 __all__ = [
     "BatchRowsListener",
@@ -20,4 +28,6 @@ __all__ = [
     "preview_stream",
     "run_all",
     "run_bounded",
+    "start_at_tip",
+    "stop_at_batch_end",
 ]

@@ -23,20 +23,64 @@ def apply_trigger(writer: DataStreamWriter, trigger: str | None) -> DataStreamWr
     return writer.trigger(processingTime=trigger)
 
 
-def run_bounded(query: StreamingQuery, seconds: float | None = None) -> StreamingQuery:
+def run_bounded(query: StreamingQuery, seconds: float | None = None,
+                batch_end_seconds: float = 0) -> StreamingQuery:
     """Wait for the query to end (``seconds=None``: until it stops by
     itself), else stop it after ``seconds``.  Errors of the query are
-    raised here."""
+    raised here.  A batch that runs at that time may take ``batch_end_seconds``
+    more to commit, so that it needn't be done again."""
     if seconds is None:
         query.awaitTermination()
     elif not query.awaitTermination(seconds):
-        query.stop()
+        stop_at_batch_end(query, batch_end_seconds)
     exc = query.exception()
     if exc is not None:
         raise exc
     return query
 
 
+def stop_at_batch_end(query: StreamingQuery, seconds: float = 60, poll: float = 0.02) -> bool:
+    """Stop the query between two batches; a batch that is still running
+    after ``seconds`` is cut off (and redone on restart).  Returns whether
+    the query was stopped, or had ended, between batches."""
+    deadline = time.monotonic() + seconds
+    begun = query.lastProgress
+    between = False
+    while query.isActive:
+        now = query.lastProgress
+        # Idle, or a batch has committed since: its progress is reported after the commit.
+        between = not query.status["isTriggerActive"] or (now is not None and (
+            begun is None or now.batchId != begun.batchId))
+        if between or time.monotonic() >= deadline:
+            break
+        time.sleep(poll)
+    else:
+        between = query.exception() is None
+    query.stop()
+    return between
+
+
+def start_at_tip(df, checkpoint: str) -> bool:
+    """Mark what a streaming source has now as read, for a query that starts
+    at the tip: its first run with this checkpoint reads only what comes later.
+
+    ``df`` must be the source as the query will read it.  Nothing of the
+    old input is read but its listing, as no action runs on the batches.  A
+    checkpoint that has committed batches is left alone (False).  The query
+    must write batch by batch (``sinks.append_outputs``, ``append_batches``):
+    the log of Spark's own file sink wants batch 0.
+    """
+    spark = df.sparkSession
+    from changefeed.sinks.publish import matching
+
+    if matching(spark, f"{checkpoint.rstrip('/')}/commits/*"):
+        return False
+    query = (df.writeStream.foreachBatch(lambda batch, batch_id: None)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    run_bounded(query)
+    return True
+
+
 def run_all(queries: list[StreamingQuery], seconds: float | None = None) -> None:
     """Wait for all queries to end, at most ``seconds`` together, then stop
     those that still run.  When one fails the others are stopped and its
