@@ -144,7 +144,7 @@ def stream_changes(spark: SparkSession, checkpoint: str, *, source_fmt: str = "p
                    partitions: int | None = None,
                    options: dict[str, str] | None = None, metrics_path: str | None = None,
                    sample: int = 0, on_batch: Callable[[BatchReport], None] | None = None,
-                   from_tip: bool = False) -> list[StreamingQuery]:
+                   from_tip: bool = False, target_file_bytes: int | None = None) -> list[StreamingQuery]:
     """Keyed records -> parse -> flatten -> append, one micro-batch per
     trigger.
 
@@ -156,7 +156,8 @@ def stream_changes(spark: SparkSession, checkpoint: str, *, source_fmt: str = "p
     row count per batch and output; ``sample`` and ``on_batch``: a report of
     each batch with so many of its rows.  ``from_tip``: a first run passes over
     what is there (for a topic the source's own option does that).
-    ``partitions`` bounds the files each batch writes and ``options`` go to
+    ``partitions`` bounds the files each batch writes, ``target_file_bytes``
+    chooses their number by the last batch's bytes, and ``options`` go to
     the sink.  Returns the started query in a list.
     """
     if on_malformed == "quarantine" and quarantine_path is None:
@@ -166,13 +167,15 @@ def stream_changes(spark: SparkSession, checkpoint: str, *, source_fmt: str = "p
                             max_bytes_per_trigger=max_bytes_per_trigger)
     if from_tip and source_fmt != "kafka":
         start_at_tip(records, checkpoint)
-    if quarantine_path is None and metrics_path is None and on_batch is None and not (sample or from_tip):
+    batched = metrics_path or on_batch or sample or from_tip or target_file_bytes
+    if quarantine_path is None and not batched:
         flat = observe_rows(changes(records, time_zone, on_malformed), CHANGES_METRIC)
         return [append_stream(flat, checkpoint, table=table, path=path, fmt=fmt, trigger=trigger,
                               options=options, partitions=partitions)]
 
     def main(rows) -> Output:
-        return Output("changes", rows, path=path, table=table, fmt=fmt, options=options or {}, partitions=partitions)
+        return Output("changes", rows, path=path, table=table, fmt=fmt, options=options or {}, partitions=partitions,
+                      target_file_bytes=target_file_bytes)
 
     if quarantine_path is None:
         outputs = [main(lambda batch: batch)]
@@ -321,7 +324,7 @@ def streaming_main(spark: SparkSession | None = None) -> None:
     ``spark.app.sink.*`` options, ``spark.app.timeZone``,
     ``spark.app.partitions`` (files a batch),
     ``spark.app.maxFilesPerTrigger`` / ``maxBytesPerTrigger``,
-    ``spark.app.quarantinePath``, ``spark.app.metricsPath`` and
+    ``spark.app.quarantinePath``, ``spark.app.targetFileBytes``, ``spark.app.metricsPath`` and
     ``spark.app.fromTip``.
     """
     from changefeed.session import build_session
@@ -344,6 +347,7 @@ def streaming_main(spark: SparkSession | None = None) -> None:
         metrics_path=_conf(spark, "metricsPath"),
         from_tip=_flag(spark, "fromTip"),
         partitions=int(partitions) if partitions else None,
+        target_file_bytes=int(_conf(spark, "targetFileBytes", "0")) or None,
         options=_prefixed(spark, "sink"),
         **_caps(spark),
     )

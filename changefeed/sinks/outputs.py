@@ -27,11 +27,14 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from changefeed.sinks.publish import size
 from changefeed.sinks.tables import BATCH_COLUMN, QUERY_COLUMN, batch_writer
 from changefeed.streaming.triggers import apply_trigger
 
 METRICS_SCHEMA = f"{QUERY_COLUMN} string, {BATCH_COLUMN} long, output string, n_rows long"
 _PLACE = "__place_in_task"
+#: Bytes a row is taken for before the first batch is written.
+FIRST_ROW_BYTES = 100
 
 
 @dataclass(frozen=True)
@@ -42,6 +45,11 @@ class Output:
     table partitioned by the same two columns; ``fmt="kafka"``: a topic named
     in ``options`` (a replayed batch is sent again, as a topic has no batch to
     replace).  ``fmt="delta"`` uses the writer's transaction options.
+
+    ``partitions`` fixes the number of files a batch adds.  With
+    ``target_file_bytes`` (an output with a ``path``) it follows the feed: the
+    batch's rows times the bytes a row took in the last batch, in files of about
+    that size.
     """
 
     name: str
@@ -51,13 +59,25 @@ class Output:
     fmt: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
     partitions: int | None = None
+    target_file_bytes: int | None = None
+    _last: dict[str, float] = field(default_factory=dict, compare=False)
 
     def __post_init__(self):
         if self.fmt != "kafka" and (self.path is None) == (self.table is None):
             raise ValueError(f"output {self.name}: give exactly one of path or table")
-
-    def write(self, rows: DataFrame, query_id: str, batch_id: int) -> None:
-        if self.partitions:
+        if self.target_file_bytes is not None and (self.path is None or self.fmt == "delta"):
+            raise ValueError(f"output {self.name}: file sizes need a path of plain files")
+
+    def _sized(self, rows: DataFrame, n: int) -> DataFrame:
+        """As many partitions as ``n`` rows fill files."""
+        wanted = n * self._last.get("row_bytes", FIRST_ROW_BYTES) / self.target_file_bytes
+        return rows.repartition(max(1, round(wanted)))
+
+    def write(self, rows: DataFrame, query_id: str, batch_id: int, n: int | None = None) -> None:
+        """``n``: number of rows, where file sizes are wanted."""
+        if n is not None:
+            rows = self._sized(rows, n)
+        elif self.partitions:
             rows = rows.repartition(self.partitions)
         if self.fmt == "kafka":
             rows.write.format("kafka").options(**self.options).save()
@@ -66,7 +86,10 @@ class Output:
         elif self.fmt == "delta":
             batch_writer(self.path, fmt="delta", options=self.options, app_id=query_id)(rows, batch_id)
         else:
-            batch_writer(f"{self.path}/{QUERY_COLUMN}={query_id}", fmt=self.fmt, options=self.options)(rows, batch_id)
+            folder = f"{self.path}/{QUERY_COLUMN}={query_id}"
+            batch_writer(folder, fmt=self.fmt, options=self.options)(rows, batch_id)
+            if n:
+                self._last["row_bytes"] = size(rows.sparkSession, f"{folder}/{BATCH_COLUMN}={batch_id}") / n
 
 
 @dataclass(frozen=True)
@@ -121,8 +144,8 @@ def append_outputs(df: DataFrame, checkpoint: str, outputs: Sequence[Output], *,
                    query_name: str | None = None) -> StreamingQuery:
     """Start one query that writes every batch of ``df`` to all ``outputs``.
 
-    With several outputs the batch is kept (memory, then disk) while it is
-    written, so that what ``df`` computes, the parse that splits it for
+    With several outputs, or file sizes wanted, the batch is kept (memory, then
+    disk) while it is written, so that what ``df`` computes, the parse that splits it for
     instance, runs once.  ``metrics_path``: a row per batch and output (see
     :func:`read_metrics`), replaced when a batch is replayed.  ``sample``: so
     many rows of the first output in ``on_batch``'s report, gathered by the
@@ -139,18 +162,21 @@ def append_outputs(df: DataFrame, checkpoint: str, outputs: Sequence[Output], *,
             owner.append(query_id_of(spark, checkpoint))
         counts: dict[str, int] = {}
         shown: list[Row] = []
-        if len(outputs) > 1:
+        kept = len(outputs) > 1 or any(o.target_file_bytes for o in outputs)
+        if kept:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for output in outputs:
                 first = output is outputs[0]
-                rows, seen = _observed(output.rows(batch), sample if first else 0)
-                output.write(rows, owner[0], batch_id)
+                rows = output.rows(batch)
+                n = rows.count() if output.target_file_bytes else None  # fills the kept batch, which the write reads
+                rows, seen = _observed(rows, sample if first else 0)
+                output.write(rows, owner[0], batch_id, n)
                 counts[output.name] = int(seen.get["n"])
                 if first and sample:
                     shown = list(seen.get["sample"])
         finally:
-            if len(outputs) > 1:
+            if kept:
                 batch.unpersist()
         if metrics_path is not None:
             made = [(owner[0], batch_id, name, n) for name, n in counts.items()]

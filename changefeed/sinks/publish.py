@@ -31,6 +31,13 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.globStatus(at) or ())
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of the data files in a folder (marks and check sums left out)."""
+    fs, at = _files(spark, f"{path.rstrip('/')}/*")
+    named = [(s.getPath().getName(), s.getLen()) for s in fs.globStatus(at) or ()]
+    return sum(n for name, n in named if not name.startswith(("_", ".")))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a file or folder."""
     fs, at = _files(spark, path)

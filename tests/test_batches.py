@@ -300,3 +300,22 @@ def test_pretest_of_a_long_list_saves_the_parse(spark):
     allowed = [f"x{i}.example.org" for i in range(5000)] + ["click.example.org"]
     want = jobs.ingest(lines, ["click.example.org"], pretest=False).count()
     assert jobs.ingest(lines, allowed).count() == want > 0
+
+
+def test_files_keep_their_size_while_the_feed_changes_tenfold(spark):
+    base = shared_dir(spark, "t-sizes")
+    target = 20_000
+    for n, rows in enumerate([2000, 2000, 20000, 2000, 20000]):
+        _land(base, f"{n}.txt", [_line(i, f"h{hash((n, i))}.example.org") for i in range(rows)])
+        then = 1_600_000_000 + n
+        os.utime(f"{_local(base)}/landing/{n}.txt", (then, then))
+    lines = feed_lines(spark, f"{base}/landing", streaming=True, max_files_per_trigger=1)
+    run_bounded(append_outputs(jobs.ingest(lines), f"{base}/_ckpt",
+                               [Output("r", lambda b: b, path=f"{base}/r", target_file_bytes=target)],
+                               trigger="available_now"))
+    assert read_batches(spark, f"{base}/r").count() == 46000
+    for batch in range(1, 5):
+        sizes = [os.path.getsize(p) for p in glob.glob(f"{_local(base)}/r/*/batch_id={batch}/*.parquet")]
+        assert target / 2 <= sum(sizes) / len(sizes) <= 2 * target, (batch, sizes)
+    with pytest.raises(ValueError, match="plain files"):
+        Output("x", lambda b: b, table="t", target_file_bytes=1)
