@@ -352,10 +352,11 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` without all but one of each class: the smallest
     doc_id stays (nulls last, then the first row)."""
-    columns = docs.columns
     # Written once: numbered anew, a lost executor could give rows other ids.
-    numbered = saved(docs.withColumn("__uid", F.monotonically_increasing_id()), "numbered")
-    light = numbered.select("__uid", "doc_id", F.unhex(F.md5(text_or_empty())).alias("key"))
+    row = F.struct(*docs.columns).alias("row")
+    numbered = saved(docs.select(row, F.monotonically_increasing_id().alias("__uid")), "numbered")
+    light = numbered.select("__uid", F.col("row.doc_id").alias("doc_id"),
+                            F.unhex(F.md5(text_or_empty("row.text"))).alias("key"))
     texts, classes = near_classes(docs, least)
     comp = texts.join(classes, "tid", "left").select("key", F.coalesce("comp", "tid").alias("comp"))
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__uid"))
@@ -364,4 +365,4 @@ def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     gone = saved(placed.join(stay, "comp").where("__uid <> stay").select("__uid"), "dropped")
     if gone.count() <= BROADCAST_KEYS:
         gone = F.broadcast(gone)
-    return numbered.join(gone, "__uid", "left_anti").select(*columns)
+    return numbered.join(gone, "__uid", "left_anti").select("row.*")

@@ -72,17 +72,28 @@ def _removed(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
-def _repeat_words(w: str = "__w") -> tuple[str, str, str]:
+_WORK = ("__w", "__keys", "__places", "__texts", "__lines")
+
+
+def _own_names(columns: list[str]) -> list[str]:
+    """Names of working columns that the caller's columns don't have."""
+    taken, mark = {c.lower() for c in columns}, ""
+    while any(n + mark in taken for n in _WORK):
+        mark += "_"
+    return [n + mark for n in _WORK]
+
+
+def _repeat_words(w: str, keys_name: str, places_name: str) -> tuple[str, str, str]:
     """SQL, step by step, for the words inside 3-word windows that occur
     twice or more: sorted keys, candidate places, their texts sorted."""
     bits = f"cast(ceil(log2(size({w}) + 1)) as int)"
     keys = (f"CASE WHEN size({w}) < 4 THEN array() ELSE sort_array(transform(sequence(0, size({w}) - 3), "
             f"i -> shiftleft(xxhash64({w}[i], {w}[i + 1], {w}[i + 2]), {bits}) | cast(i as bigint))) END")
-    same = f"shiftright(x, {bits}) = shiftright(__keys[i {{}} 1], {bits})"
-    places = (f"transform(filter(__keys, (x, i) -> (i > 0 AND {same.format('-')}) OR "
-              f"(i + 1 < size(__keys) AND {same.format('+')})), "
+    same = f"shiftright(x, {bits}) = shiftright({keys_name}[i {{}} 1], {bits})"
+    places = (f"transform(filter({keys_name}, (x, i) -> (i > 0 AND {same.format('-')}) OR "
+              f"(i + 1 < size({keys_name}) AND {same.format('+')})), "
               f"x -> cast(x & (shiftleft(1L, {bits}) - 1) as int))")
-    texts = (f"array_sort(transform(__places, p -> struct(concat_ws(' ', {w}[p], {w}[p + 1], {w}[p + 2]) "
+    texts = (f"array_sort(transform({places_name}, p -> struct(concat_ws(' ', {w}[p], {w}[p + 1], {w}[p + 2]) "
              "AS s, p AS p)))")
     return keys, places, texts
 
@@ -90,30 +101,31 @@ def _repeat_words(w: str = "__w") -> tuple[str, str, str]:
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the measurements (long) of each whole text."""
     t = text_or_empty(text)
-    keys, places, texts = _repeat_words()
     df = df.drop(*MEASURES)
-    df = once(df, words_of(t), "__w")
-    df = once(df, F.expr(keys), "__keys")
-    df = once(df, F.expr(places), "__places")
-    df = once(df, F.expr(texts), "__texts")
-    starts = ("array_sort(transform(filter(__texts, (x, i) -> (i > 0 AND x.s = __texts[i - 1].s) OR "
-              "(i + 1 < size(__texts) AND x.s = __texts[i + 1].s)), x -> x.p))")
+    work = w, k, p, s, ls = _own_names(df.columns)
+    keys, places, texts = _repeat_words(w, k, p)
+    df = once(df, words_of(t), w)
+    df = once(df, F.expr(keys), k)
+    df = once(df, F.expr(places), p)
+    df = once(df, F.expr(texts), s)
+    starts = (f"array_sort(transform(filter({s}, (x, i) -> (i > 0 AND x.s = {s}[i - 1].s) OR "
+              f"(i + 1 < size({s}) AND x.s = {s}[i + 1].s)), x -> x.p))")
     covered = (f"aggregate({starts}, struct(0L AS n, 0 AS done), (a, s) -> struct("
                "a.n + (s + 3) - greatest(a.done, s) AS n, s + 3 AS done), a -> a.n)")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(WORD))
-    df = once(df, lines, "__lines")
+    df = once(df, lines, ls)
     long = lambda c: c.cast("long")
     return df.withColumns({
-        "n_words": long(F.size("__w")),
+        "n_words": long(F.size(w)),
         "word_chars": long(F.length(F.regexp_replace(t, SPACE, ""))),
         "n_symbols": long(_removed(t, r"[#*$%&|<>]")),
-        "n_lines": long(F.size("__lines")),
-        "n_dup_lines": long(F.size("__lines") - F.size(F.array_distinct("__lines"))),
+        "n_lines": long(F.size(ls)),
+        "n_dup_lines": long(F.size(ls) - F.size(F.array_distinct(ls))),
         "n_repeat_words": F.expr(covered),
         "n_upper": long(_removed(t, r"\p{Lu}")),
-        "n_distinct_words": long(F.size(F.array_distinct("__w"))),
-        "n_letter_words": long(F.size(F.filter("__w", lambda x: x.rlike(r"\p{L}")))),
-    }).drop("__w", "__keys", "__places", "__texts", "__lines")
+        "n_distinct_words": long(F.size(F.array_distinct(w))),
+        "n_letter_words": long(F.size(F.filter(w, lambda x: x.rlike(r"\p{L}")))),
+    }).drop(*work)
 
 
 def ledger(df: DataFrame, text: str = "text") -> DataFrame:
@@ -125,6 +137,13 @@ def ledger(df: DataFrame, text: str = "text") -> DataFrame:
     return measure(df.drop("failed"), text).withColumn("failed", failed.cast("long"))
 
 
+def keep(df: DataFrame, policy: str | None = None, text: str = "text") -> DataFrame:
+    """The rows that fail no rule of the policy, with the very columns they
+    came with, whatever their names."""
+    own = df.select(F.struct(*df.columns).alias("row"))
+    return apply_policy(ledger(own, f"row.`{text}`"), policy or DEFAULT_POLICY).where("kept").select("row.*")
+
+
 def apply_policy(marked: DataFrame, policy: str = DEFAULT_POLICY, to: str = "kept") -> DataFrame:
     """Add ``to``: whether the row fails no rule of the policy."""
     return marked.withColumn(to, F.col("failed").bitwiseAND(F.lit(policy_mask(policy)).cast("long")) == 0)

@@ -10,8 +10,15 @@ the rules of its own tokens and then has the rest of their tokens checked.
 
 Explicit host and path rules go first; the longest that fits decides.
 
+A rule must also be more than chance: with ``m`` token sets looked at and a share
+``p`` of bad rows among all, a set of ``n`` rows with a share ``c`` of bad ones counts only
+if ``n * KL(c, p) >= ln(m / FALSE_RULES)``.  By the Chernoff bound, labels drawn at
+random then give ``FALSE_RULES`` rules in expectation at most, at any size of
+the input.
+
 Mining runs over all labelled rows, and the support asked for is a number of
-bad rows, so that what a rule needs does not grow with the input.  Rules of
+bad rows; beyond that a rule needs only as many more as the logarithm of the
+number of sets.  Rules of
 one token are counted exactly; only tokens of enough bad rows that are not
 wholly bad go into FP-growth (a wider set with a wholly bad token is covered
 by that token), which keeps its itemsets few.  A rule meets
@@ -41,6 +48,8 @@ LABEL = "label=bad"
 MIN_SUPPORT = 0.0
 MIN_CONFIDENCE = 0.6
 MIN_COUNT = 5
+#: Rules expected at most where labels mean nothing.
+FALSE_RULES = 0.01
 #: Tokens broadcast at most; more are joined.
 BROADCAST_TOKENS = 100_000
 
@@ -94,14 +103,17 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
         F.concat(tokens_of(F.col("url")), F.when(F.col("bad"), F.array(F.lit(LABEL)))
                  .otherwise(F.array().cast("array<string>"))).alias("items"))
     items = saved(items.withColumn("row", F.monotonically_increasing_id()), "url-items")
-    n = items.count()
-    if n == 0:
+    n, n_bad = items.agg(F.count(F.lit(1)), F.coalesce(F.count_if(F.array_contains("items", LABEL)), F.lit(0))).first()
+    if n_bad == 0:
         return spark.createDataFrame([], schema)
+    base = n_bad / n
     least = max(min_count, math.ceil(min_support * n), 1)
     marked = items.select(F.array_contains("items", LABEL).cast("long").alias("bad"),
                           F.explode(F.array_remove("items", LABEL)).alias("token"))
-    counts = marked.groupBy("token").agg(F.count(F.lit(1)).alias("freq"), F.sum("bad").alias("support")).where(F.col("support") >= least)
-    counts = saved(counts, "url-tokens")
+    counts = marked.groupBy("token").agg(F.count(F.lit(1)).alias("freq"), F.sum("bad").alias("support"))
+    counts = saved(counts.where(F.col("freq") >= least), "url-tokens")
+    n_sets = counts.count()
+    counts = counts.where(F.col("support") >= least)
     share = F.col("support") / F.col("freq")
     alone = counts.where(share >= min_confidence).select(F.array("token").alias("tokens"), "support", share.alias("confidence"))
     mixed = counts.where("support < freq").select("token")
@@ -117,13 +129,15 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
         # Half a row less, so that rounding cannot ask for one more.
         model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / kept), minConfidence=1.0).fit(pruned)
         sets = saved(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
+        n_sets += sets.where(~F.array_contains("items", LABEL) & (F.size("items") > 1)).count()
         bad = (sets.where(F.array_contains("items", LABEL) & (F.size("items") > 2))
                .select(F.array_remove("items", LABEL).alias("items"), F.col("freq").alias("support")))
         wider = (bad.join(sets, "items").select(F.col("items").alias("tokens"), "support",
                                                 (F.col("support") / F.col("freq")).alias("confidence"))
                  .where(F.col("confidence") >= min_confidence))
         rules = alone.unionByName(wider)
-    rules = saved(rules, "url-mined")
+    rules = saved(rules.where(_evidence(F.col("support"), F.col("confidence"), base) >= math.log(n_sets / FALSE_RULES)),
+                  "url-mined") if n_sets else rules
     # A covering rule begins with one of the covered rule's tokens.
     wide = rules.select("tokens", "confidence", F.explode("tokens").alias("first"))
     short = rules.select(F.col("tokens").alias("t2"), F.col("confidence").alias("c2"), F.col("tokens")[0].alias("first"))
@@ -138,6 +152,15 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     return rules.join(rarest, "tokens").select("tokens", "index_token", "support", "confidence")
 
 
+def _evidence(support: Column, confidence: Column, base: float) -> Column:
+    """n * KL(confidence, base) in nats: how far beyond the base rate a rule is."""
+    if base >= 1:
+        return F.lit(0.0)  # all rows are bad: no token tells anything
+    good = F.when(confidence < 1, (1 - confidence) * F.ln((1 - confidence) / (1 - base))).otherwise(0.0)
+    gain = confidence * F.ln(confidence / base) + good
+    return F.when(confidence > base, support / confidence * gain).otherwise(0.0)
+
+
 def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """Distinct URLs that fit a mined rule: url, matched (tokens of the most
     confident rule), confidence."""
