@@ -3,7 +3,15 @@
 Four stages, each written as Parquet in the shared folder and read back as
 the next one's documents (the last writes its pieces itself): the quality classifier, the quality rules,
 near-duplicate removal and packing.  All but the last return the columns of
-``documents``.
+``documents``, with whatever other columns came along, unchanged.
+
+Defined results: a null text is empty, too short for the rules, and goes there;
+a null language is judged under the model of all text; rows with a null doc_id
+are unlabelled, and of a class of near-duplicates they stay only if none has an
+id; repeated rows are near-duplicates, one stays; among equal ids the first row
+stays; without trusted labels the classifier keeps everything; a text of any
+length is read and packed whole; an empty table gives no rows; columns may have
+any names, those of the operators included.
 """
 
 from __future__ import annotations
@@ -17,14 +25,12 @@ from changefeed.llm.common import saved, table
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is within their language's threshold."""
-    columns = docs.columns
-    return kneser.classify(docs, table(spark, sf_dir, "labels")).where("kept").select(*columns)
+    return kneser.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail no rule of the policy."""
-    columns = docs.columns
-    return rules.apply_policy(rules.ledger(docs)).where("kept").select(*columns)
+    return rules.keep(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
