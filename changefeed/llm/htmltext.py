@@ -9,7 +9,8 @@ template.  The template's own texts (repeated notices, credits) are dropped
 where they stand outside the article.  Which parts of a page are not the
 article is decided by fixed lists: menus, headers, footers, side bars, notices,
 adverts, forms, scripts and reader comments, by element name, role, class or
-id.  The template's tags, their order and their nesting are deduced but do
+id; a part that has the article inside after all (a wrapper named
+``with-sidebar``, a form round the page) does not count as one.  The template's tags, their order and their nesting are deduced but do
 not choose the article.
 
 Scale: an occurrence vector is kept as two sums of page hashes, so vectors of
@@ -30,9 +31,10 @@ page; extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
 import html as _html
 import re
-from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -66,6 +68,10 @@ _PARTS = re.compile(
     r"popup|modal|overlay|newsletter|subscri\w+|sidebar|side-?bar|aside|menu|nav|navbar|navigation|breadcrumbs?|"
     r"comments?|disqus|respond|repl(?:y|ies)|share|sharing|social|related|recommend\w*|footer|header|masthead|"
     r"toolbar|pagination|pager|login|signup|widgets?|skip-link|copyright|disclaimer)(?:$|[\s_-])", re.I)
+# Of these, parts that are never round the article (``comments-open`` tells a state).
+_ANSWERS = re.compile(
+    r"(?:^|\s)(?:comments?|disqus|respond|repl(?:y|ies)|related|recommend\w*)"
+    r"(?:$|\s|[_-](?!(?:open|closed|enabled|on|status)(?:$|\s)))", re.I)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -77,128 +83,241 @@ _SPACES = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _is_part(name: str, attrs: str, inside_article: bool) -> bool:
-    """Whether an element is a page part that is not the article."""
+def _part_of(name: str, attrs: str, inside_article: bool) -> str | None:
+    """Whether an element is a page part that is not the article: ``hard`` by
+    its name, role or being hidden, ``soft`` by a word in its class or id, or as
+    a form, which some sites put round whole pages."""
     if name in SKIP:
-        return True
+        return "soft" if name == "form" else "hard"
     if name == "header":
-        return not inside_article
+        return None if inside_article else "hard"
     if not attrs or name in ("html", "body", "main"):
-        return False
+        return None
+    soft = None
     for key, a, b, c in _ATTR.findall(attrs):
         key, value = key.lower(), a or b or c
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return "hard"
         if key == "style" and _HIDDEN.search(value) or key == "role" and value.lower() in SKIP_ROLES:
-            return True
+            return "hard"
         if key in ("class", "id") and _PARTS.search(value):
-            return True
-    return False
-
-
-def scan(page: str) -> Iterator[tuple[str, str, bool, bool, str, tuple[int, ...]]]:
-    """(kind, path or text, in a page part, in an article, path around a text,
-    elements around a text's block but ``html`` and ``body``) in page order;
-    kind is ``tag`` or ``text``; a text is a whole block, references decoded
-    and white space made single."""
-    stack: list[tuple[str, bool, bool, str, int]] = []  # name, part, article, path, serial
-    buffer: list[str] = []
-    at = serial = 0
-
-    def block():
-        if buffer:
-            text = _SPACES.sub(" ", "".join(buffer)).strip()
-            buffer.clear()
-            if text:
-                top = stack[-1] if stack else ("", False, False, "")
-                own = max((i for i, e in enumerate(stack) if e[0] in BLOCK), default=0)
-                around = tuple(e[4] for e in stack[:own] if e[0] not in ("html", "body"))
-                return ("text", text, top[1], top[2], top[3], around)
-        return None
-
-    def text_of(raw: str) -> str:
-        return _html.unescape(raw) if "&" in raw else raw
-
-    while True:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            buffer.append(text_of(page[at:]))
-            break
-        if m.start() > at:
-            buffer.append(text_of(page[at:m.start()]))
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
-        if not name:
-            continue
-        closing, attrs = m[1] or m[4], (m[3] if m[2] else m[6]) or ""
-        if name == "br":
-            buffer.append(" ")
-            continue
-        if name in BLOCK and (b := block()):
-            yield b
-        if closing:
-            # An end tag closes the nearest open element of its name, but
-            # none beyond the block it is in unless it is a block itself.
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-                if name not in BLOCK and stack[i][0] in BLOCK:
+            if _ANSWERS.search(value):
+                return "hard"
+            soft = "soft"
+    return soft
+
+
+class Element(NamedTuple):
+    """An open element.  Elements are numbered from 1 in page order."""
+
+    name: str
+    serial: int
+    path: int  # a hash of the names of the open elements
+    hard: bool  # it or one around it is a part for sure
+    soft: int  # the nearest soft part, itself included
+    article: int  # the outermost article or main element, itself included
+    article_soft: int  # the nearest soft part at that element
+    block: int  # place in the stack of the nearest block element, itself included; -1 none
+    outer: int  # the nearest element around it but html and body
+
+
+class Block(NamedTuple):
+    """A text of the page: references decoded, white space made single."""
+
+    text: str
+    path: int
+    hard: bool
+    soft: int
+    article: int
+    article_soft: int
+    serial: int  # of the block element it is in
+    outer: int  # the element right around that
+
+
+_TOP = Element("", 0, 0, False, 0, 0, 0, -1, 0)
+# What the start of an element ends without an end tag, besides an open
+# paragraph, and what it does not look beyond.
+_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"},
+         "tr": {"tr", "td", "th"}, "option": {"option"}}
+_STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"tr", "table"}, "th": {"tr", "table"},
+          "tr": {"table", "tbody", "thead", "tfoot"}}
+
+
+class Page:
+    """One pass over a page: ``tokens`` (a tag's path, or a block) in order;
+    ``last``: for each closed element the last element inside it;
+    ``soft_around``: for each soft part the soft part around it.  Time and
+    memory grow with the length of the page, however deep it is nested."""
+
+    def __init__(self, page: str):
+        self.tokens: list[int | Block] = []
+        self.last: dict[int, int] = {}
+        self.soft_around: dict[int, int] = {}
+        self.soft_depth: dict[int, int] = {0: 0}
+        self.forms: set[int] = set()
+        self._stack: list[Element] = []
+        self._open: dict[str, int] = {}
+        self._serial = 0
+        self._buffer: list[str] = []
+        self._read(page)
+
+    def inside(self, serial: int, outer: int) -> bool:
+        """Whether an element is strictly inside another."""
+        return outer < serial <= self.last.get(outer, self._serial)
+
+    def _cut(self, size: int) -> None:
+        for e in self._stack[size:]:
+            self.last[e.serial] = self._serial
+            self._open[e.name] -= 1
+        del self._stack[size:]
+
+    def _block(self) -> None:
+        if not self._buffer:
+            return
+        text = _SPACES.sub(" ", "".join(self._buffer)).strip()
+        self._buffer.clear()
+        if text:
+            top = self._stack[-1] if self._stack else _TOP
+            own = self._stack[top.block] if top.block >= 0 else _TOP
+            self.tokens.append(Block(text, top.path, top.hard, top.soft, top.article, top.article_soft,
+                                     own.serial, own.outer))
+
+    def _end(self, name: str) -> None:
+        """An end tag closes the nearest open element of its name, but none
+        beyond the block it is in unless it is a block itself."""
+        if not self._open.get(name):
+            return
+        for i in range(len(self._stack) - 1, -1, -1):
+            if self._stack[i].name == name:
+                return self._cut(i)
+            if name not in BLOCK and self._stack[i].name in BLOCK:
+                return None
+
+    def _end_implied(self, name: str) -> None:
+        ends, stops = _ENDS.get(name, set()) | {"p"}, _STOPS.get(name, ())
+        cut = len(self._stack)
+        for i in range(cut - 1, -1, -1):
+            tag = self._stack[i].name
+            if tag in ends:
+                cut = i
+                if name != "tr":
                     break
-            continue
-        if name in RAW and not attrs.endswith("/"):
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            continue
-        if name in ENDS_P or name in ("li", "dt", "dd", "tr", "td", "th", "option"):
-            _close_implied(stack, name)
-        top = stack[-1] if stack else ("", False, False, "")
-        inside = top[2] or name in ("article", "main")
-        part = top[1] or _is_part(name, attrs, top[2])
-        path = f"{top[3]}/{name}"
-        yield ("tag", path, part, inside, path, ())
-        serial += 1
+            elif tag in stops or tag in BLOCK:
+                break
+        self._cut(cut)
+
+    def _start(self, name: str, attrs: str) -> None:
+        top = self._stack[-1] if self._stack else _TOP
+        self._serial += 1
+        part = _part_of(name, attrs, top.article > 0)
+        soft = top.soft
+        if part == "soft":
+            soft = self._serial
+            self.soft_around[soft] = top.soft
+            self.soft_depth[soft] = self.soft_depth[top.soft] + 1
+            if name == "form":
+                self.forms.add(soft)
+        article, article_soft = top.article, top.article_soft
+        if not article and name in ("article", "main"):
+            article, article_soft = self._serial, soft
+        path = _hash("tag", f"{top.path:x}/{name}")
+        self.tokens.append(path)
         if name not in VOID and not attrs.endswith("/"):
-            stack.append((name, part, inside, path, serial))
-    if b := block():
-        yield b
-
-
-def _close_implied(stack: list, name: str) -> None:
-    """Close what the start of ``name`` ends without an end tag: an open
-    paragraph (with what is open in it), a list item, a cell or row."""
-    ends = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"},
-            "tr": {"tr", "td", "th"}, "option": {"option"}}.get(name, set()) | {"p"}
-    stop = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"tr", "table"}, "th": {"tr", "table"},
-            "tr": {"table", "tbody", "thead", "tfoot"}}.get(name, set())
-    for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] in ends:
-            del stack[i:]
-            if name not in ("td", "th", "tr"):
-                return
-            return _close_implied(stack, name) if name == "tr" else None
-        if stack[i][0] in stop or stack[i][0] in BLOCK and stack[i][0] not in ends:
-            return
+            place = len(self._stack)
+            outer = top.outer if top.name in ("html", "body") else top.serial
+            self._stack.append(Element(name, self._serial, path, top.hard or part == "hard", soft, article, article_soft,
+                                       place if name in BLOCK else top.block, outer))
+            self._open[name] = self._open.get(name, 0) + 1
+
+    def _read(self, page: str) -> None:
+        at = 0
+        while True:
+            m = _TOKEN.search(page, at)
+            raw = page[at:m.start() if m else None]
+            if raw:
+                self._buffer.append(_html.unescape(raw) if "&" in raw else raw)
+            if m is None:
+                break
+            at = m.end()
+            name = (m[2] or m[5] or "").lower()
+            if not name:
+                continue
+            closing, attrs = m[1] or m[4], (m[3] if m[2] else m[6]) or ""
+            if name == "br":
+                self._buffer.append(" ")
+                continue
+            if name in BLOCK:
+                self._block()
+            if closing:
+                self._end(name)
+                continue
+            if name in RAW and not attrs.endswith("/"):
+                end = _raw_end(name).search(page, at)
+                at = end.end() if end else len(page)
+                continue
+            if name in ENDS_P or name in ("li", "dt", "dd", "tr", "td", "th", "option"):
+                self._end_implied(name)
+            self._start(name, attrs)
+        self._block()
+
+    def wrappers(self) -> frozenset[int]:
+        """Soft parts that are round the article after all: where no article
+        stands outside parts, those around the article element in fewest of
+        them (of these, the one with most text), if it has more text than stands
+        outside all parts; else, where nothing stands outside parts, a form."""
+        outside = 0
+        sizes: dict[tuple[int, int], int] = {}
+        form = 0
+        for b in self.tokens:
+            if not isinstance(b, Block) or b.hard:
+                continue
+            if not b.soft:
+                if b.article:
+                    return frozenset()
+                outside += len(b.text)
+            elif b.article and b.soft == b.article_soft:
+                key = (b.article, b.article_soft)
+                sizes[key] = sizes.get(key, 0) + len(b.text)
+            elif b.soft in self.forms:
+                form = form or b.soft
+        best = max(sizes, key=lambda k: (-self.soft_depth[k[1]], sizes[k]), default=None)
+        if best is not None and sizes[best] > outside:
+            soft = best[1]
+        elif not outside and form:
+            soft = form
+        else:
+            return frozenset()
+        found = set()
+        while soft:
+            found.add(soft)
+            soft = self.soft_around[soft]
+        return frozenset(found)
+
+
+@functools.cache
+def _raw_end(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I)
 
 
 def _hash(kind: str, value: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}\x00{value}") >> 1
 
 
-def _text_hash(text: str, path: str) -> int:
-    return _hash("text", f"{path}\x00{text}")
+def _text_hash(text: str, path: int) -> int:
+    return _hash("text", f"{path:x}\x00{text}")
 
 
 def page_tokens(page: str) -> dict[int, list]:
     """Token -> [occurrences, place of the first, is a text]; a text block
     counts with its text and path, a tag with its path."""
     out: dict[int, list] = {}
-    for place, (kind, value, _, _, path, _) in enumerate(scan(page)):
-        h = _text_hash(value, path) if kind == "text" else _hash(kind, value)
+    for place, token in enumerate(Page(page).tokens):
+        is_text = isinstance(token, Block)
+        h = _text_hash(token.text, token.path) if is_text else token
         if h in out:
             out[h][0] += 1
         else:
-            out[h] = [1, place, kind == "text"]
+            out[h] = [1, place, is_text]
     return out
 
 
@@ -246,6 +365,8 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     ``pages`` has host, html and mark (anything that tells pages apart)."""
     seen = saved(occurrences(pages).where(f"pages >= {min_pages}"), "occurrences")
     total = seen.where("token = 0").select("host", F.col("pages").alias("host_pages"))
+    if seen.where("token = 0").count() <= BROADCAST_TOKENS:
+        total = F.broadcast(total)  # a row a host
     often = seen.where("token <> 0").join(total, "host").where(F.col("pages") >= min_share * F.col("host_pages"))
     member = F.struct((F.col("places") / F.col("pages")).alias("place"), "token", "is_text")
     classes = often.groupBy("host", "v1", "v2", "pages", "occurs").agg(F.sort_array(F.collect_list(member)).alias("members"))
@@ -268,23 +389,21 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
 
 def article(page: str, template_texts: frozenset[int] = frozenset()) -> str:
     """The blocks of a page's article, one per line."""
-    blocks: list[tuple[str, bool, bool, tuple[int, ...]]] = []  # text, the template's, in an article, around
-    has_article = False
-    for kind, value, part, in_article, path, around in scan(page):
-        if kind == "tag":
-            has_article = has_article or in_article and not part
-        elif not part:
-            fixed = bool(template_texts) and not in_article and _text_hash(value, path) in template_texts
-            blocks.append((value, fixed, in_article, around))
-    if has_article:
-        return "\n".join(value for value, _, in_article, _ in blocks if in_article)
+    parsed = Page(page)
+    wrappers = parsed.wrappers()
+    blocks = [b for b in parsed.tokens
+              if isinstance(b, Block) and not b.hard and (not b.soft or b.soft in wrappers)]
+    named = [b.text for b in blocks if b.article]
+    if named:
+        return "\n".join(named)
+    fixed = [bool(template_texts) and _text_hash(b.text, b.path) in template_texts for b in blocks]
     # The slot: the element right around the blocks with most of what varies.
     sizes: dict[int, int] = {}
-    for value, fixed, _, around in blocks:
-        if not fixed and around:
-            sizes[around[-1]] = sizes.get(around[-1], 0) + len(value)
-    slot = max(sizes, key=sizes.get, default=None)
-    return "\n".join(value for value, fixed, _, around in blocks if not fixed or slot in around)
+    for b, own in zip(blocks, fixed):
+        if not own and b.outer:
+            sizes[b.outer] = sizes.get(b.outer, 0) + len(b.text)
+    slot = max(sizes, key=sizes.get, default=0)
+    return "\n".join(b.text for b, own in zip(blocks, fixed) if not own or slot and parsed.inside(b.serial, slot))
 
 
 def distinct_pages(pages: DataFrame) -> DataFrame:
