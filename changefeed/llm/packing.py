@@ -81,11 +81,14 @@ class _Recent:
 class WordEncoder:
     """Texts to little-endian unsigned 32-bit ids, through tables of words.
 
-    A word of ASCII letters with marks after it is looked up as the letters
+    A word of Latin letters with marks after it is looked up as the letters
     in lower case and the marks: the tokenizer lower-cases, and parts them.
     """
 
-    _TAILED = re.compile(r"([A-Za-z]+)([^A-Za-z0-9'\x00-\x20\x7f-\U0010ffff]*)")
+    # Letters that are single characters in lower case too, and composed.
+    _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e"
+    _TAILED = re.compile(rf"([{_LATIN}]+)([^A-Za-z0-9'\x00-\x20\x7f-\U0010ffff]*)")
+    _LETTERS = re.compile(rf"[{_LATIN}]+")
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -94,7 +97,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)  # special tokens in a text get their own ids
         zero = self.tokenizer.encode("0", add_special_tokens=False).ids
         self.zero = zero[0] if len(zero) == 1 else -1
-        # Lower-case ASCII letters need no normaliser and are one unit each,
+        # Lower-case Latin letters need no normaliser and are one unit each,
         # closed by an id that ends a word.
         self.letters = Tokenizer.from_file(path)
         self.letters.normalizer = None
@@ -115,17 +118,16 @@ class WordEncoder:
         # The digit 0 is always one unit with one id, which nothing else
         # has: words without it share a call, parted by it.
         known = self.known.new
-        plain = [u for u in units if u.isascii() and u.islower() and u.isalpha()]
+        letters = self._LETTERS.fullmatch
+        plain = [u for u in units if u.islower() and (u.isalpha() if u.isascii() else letters(u))]
         for lo in range(0, len(plain), 4000):
             part = plain[lo:lo + 4000]
             enc = self.letters.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
             ids = np.array(enc.ids, "<u4")
-            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            stops = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
             if len(stops) == len(part):
-                raw, at = ids.tobytes(), 0
-                for unit, stop in zip(part, stops):
-                    known[unit] = raw[4 * at:4 * stop]
-                    at = stop
+                raw = ids.tobytes()
+                known.update(zip(part, [raw[at:stop] for at, stop in zip([0, *stops], stops)]))
         mixed = [u for u in units if u not in known]
         for lo in range(0, len(mixed), 4000):
             joined = [u for u in mixed[lo:lo + 4000] if "0" not in u]

@@ -67,7 +67,9 @@ def test_word_encoder_equals_the_library():
     path = public_tokenizers.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
     texts = ["foo<|endoftext|>bar <|endoftext|>", "<|startoftext|>0 x 0 <|ENDOFTEXT|>,", "it's IT'S don't 'S's 12a 0",
-             "İstanbul ΑΣ Σ ﬁ K Å 日本", "a\x1cb\xa0c\x85d", "", "  ", "Word, word. WORD"]
+             "İstanbul ΑΣ Σ ﬁ K Å 日本", "a\x1cb\xa0c\x85d", "", "  ", "Word, word. WORD",
+             "Über, ÜBER straße STRASSE ŸÇ ŉ ĸ ı İ ſ ĿL· ǅ e\u0301a, naïve... œuvre; ŒUVRE ªº ×÷ x×y",
+             *(f"a{chr(c)}b {chr(c)} {chr(c)}, Z{chr(c)}!" for c in range(0xA1, 0x250))]
     encoder = packing.WordEncoder(path, cache_words=8)
     want = [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
     assert encoder.encode(texts) == want == encoder.encode(texts)
