@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from changefeed.llm import grams
 from changefeed.llm.common import saved, small
 
-ORDER = 4
+ORDER = 5
 #: Grams in one shard, about; a pair of context bytes is never parted.
 SHARD_GRAMS = 3_000_000
 
