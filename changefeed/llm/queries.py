@@ -92,6 +92,7 @@ def op8_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = other.where(~F.coalesce(F.expr(f"file % 13 = 5 AND page_id % {fixity.PER_FILE} >= 1900"), F.lit(False)))
     times = F.expr("CASE WHEN page_id % 211 = 57 THEN 0 WHEN page_id % 389 = 101 THEN 2 ELSE 1 END")
     other = other.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times))).drop("__copy")
+    other = other.withColumn("seat", F.expr("idx + CASE page_id % 503 WHEN 7 THEN 1 WHEN 8 THEN -1 ELSE 0 END"))
     found = fixity.audit(fixity.tree(good, name="primary"), fixity.tree(other, name="replica"))
     return found.select("page_id", "file", "idx", F.col("start").alias("offset"), "length", "status", "expected", "found")
 
